@@ -51,13 +51,15 @@ def build_documents(
     metadata_json: str | None = None,
     embedding_col: str | None = None,
     seq: Column | int = 0,
+    promote: tuple[str, ...] = (),
     base_uri: str = D.DEFAULT_BASE_URI,
 ) -> DataFrame:
     """Index documents from a table of texts.
 
     Metadata is either typed columns (`metadata_cols`) or one JSON column
     (`metadata_json`). With neither, it is the empty object. A missing id
-    column gives random ids.
+    column gives random ids. `promote` also keeps source columns as they are, so
+    that filters on them reach the scan.
     """
     names = source.columns
     fields = [source.schema[c] for c in metadata_cols or []]
@@ -95,6 +97,7 @@ def build_documents(
         given.alias("meta_json"),
         embedding.cast("array<float>").alias("embedding"),
         seq_col.cast("long").alias("ingest_seq"),
+        *[F.col(f"`{c}`") for c in promote],
     )
 
 

@@ -32,21 +32,24 @@ def check_alpha(alpha: float) -> None:
 
 
 def normalised_lexical(lexical: DataFrame, norm_k: float | None = None) -> DataFrame:
-    """Keyword scores in 0..1: over the best of the query, or saturating s / (s + k)."""
-    score = F.col("score")
+    """Raw keyword scores in 0..1: over the best of the query, or saturating s / (s + k)."""
+    score = F.col("raw")
     if norm_k is not None:
         scaled = score / (score + F.lit(float(norm_k)))
     else:
         # A query's group is its candidate pool, which is bounded.
         scaled = score / F.max(score).over(Window.partitionBy("query_id"))
-    return lexical.withColumn("score", scaled)
+    return lexical.withColumn("lex", scaled)
 
 
 def joined_pools(lexical: DataFrame, vector: DataFrame, mode: str, norm_k: float | None = None) -> DataFrame:
-    """(query_id, doc_key, lex, sem); a mode is a join type, a missing side counts 0."""
+    """(query_id, doc_key, lex, sem); a mode is a join type, a missing side counts 0.
+
+    Raw scores are fused, so that rounding happens once, at the end.
+    """
     check_mode(mode)
-    left = normalised_lexical(lexical, norm_k).select("query_id", "doc_key", F.col("score").alias("lex"))
-    right = vector.select("query_id", "doc_key", F.col("score").alias("sem"))
+    left = normalised_lexical(lexical, norm_k).select("query_id", "doc_key", "lex")
+    right = vector.select("query_id", "doc_key", F.col("raw").alias("sem"))
     return left.join(right, ["query_id", "doc_key"], JOIN_OF_MODE[mode]).fillna(0.0, ["lex", "sem"])
 
 

@@ -32,7 +32,7 @@ FIELD_ANALYSIS = {"text_t": ("text", folded_tokens)}
 
 def _analysed(field: str) -> Column:
     column, analysis = FIELD_ANALYSIS.get(field, (field, tokens))
-    return F.coalesce(analysis(column), F.array().cast("array<string>"))
+    return analysis(F.coalesce(F.col(column), F.lit("")))
 
 
 def _token_columns(documents: DataFrame, fields: list[str]) -> DataFrame:
@@ -139,16 +139,19 @@ class LexicalIndex:
         return rows if where is None else rows.join(documents.select("doc_key"), "doc_key", "left_semi")
 
     def statistics(self, fields: list[str], vocabulary: DataFrame, small: bool) -> DataFrame:
-        """(term, stats_<field>…), each a struct (df, n_docs, avgdl) over the whole index."""
+        """(term, df_<field>…, n_docs_<field>…, avgdl_<field>…) over the whole index."""
         if self.terms is not None and self.fields is not None:
             known = self.terms.filter(F.col("field").isin(*fields)).join(vocabulary, "term", "left_semi")
             # The fields table has one row per field.
             stats = known.join(F.broadcast(self.fields), "field")
         else:
             stats = collection_statistics(self.documents, fields, vocabulary, small)
-        value = F.struct("df", "n_docs", "avgdl")
         return stats.groupBy("term").agg(
-            *[F.max(F.when(F.col("field") == f, value)).alias(f"stats_{f}") for f in fields]
+            *[
+                F.max(F.when(F.col("field") == f, F.col(c))).alias(f"{c}_{f}")
+                for f in fields
+                for c in ("df", "n_docs", "avgdl")
+            ]
         )
 
 
@@ -211,11 +214,11 @@ def field_lengths(documents: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
-def bm25(tf: Column, dl: Column, stats: Column) -> Column:
+def bm25(field: str) -> Column:
     """BM25 of one term in one field; 0 where the field lacks the term."""
-    df, n = stats["df"], stats["n_docs"]
+    tf, dl, df, n, avgdl = (F.col(f"{c}_{field}") for c in ("tf", "dl", "df", "n_docs", "avgdl"))
     rarity = F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
-    length = F.lit(1.0 - D.BM25_B) + F.lit(D.BM25_B) * dl / stats["avgdl"]
+    length = F.lit(1.0 - D.BM25_B) + F.lit(D.BM25_B) * dl / avgdl
     score = rarity * tf * F.lit(D.BM25_K1 + 1.0) / (tf + F.lit(D.BM25_K1) * length)
     return F.when(tf > 0, score).otherwise(F.lit(0.0))
 
@@ -262,13 +265,7 @@ def lexical_scores(
 
     stats = index.statistics(fields, vocabulary, small)
     matched = _join_terms(index.postings(fields, vocabulary, to_column(where)), stats, small)
-    best = F.greatest(
-        F.lit(0.0),
-        *[
-            F.lit(float(w)) * bm25(F.col(f"tf_{f}"), F.col(f"dl_{f}"), F.col(f"stats_{f}"))
-            for f, w in weights.items()
-        ],
-    )
+    best = F.greatest(F.lit(0.0), *[F.lit(float(w)) * bm25(f) for f, w in weights.items()])
     weighted = matched.select("doc_key", "term", best.alias("weight"))
     if not index.clustered:
         # Before the queries multiply the rows, so it serves the sum as well.
@@ -298,16 +295,21 @@ def lexical_search(
     min_match: str | int | None = None,
 ) -> DataFrame:
     """(query_id, doc_key, score, rank): keyword search; it needs no vectors."""
-    scores = lexical_scores(index, queries, weights or D.LEXICAL_WEIGHTS, where, min_match)
-    return top_k(scores.withColumn("score", rounded(F.col("score"))), k)
+    return lexical_candidates(index, queries, k, weights or D.LEXICAL_WEIGHTS, where, min_match).drop("raw")
+
+
+def lexical_candidates(index, queries, size: int, weights, where=None, min_match=None) -> DataFrame:
+    """The best `size` documents per query with their rounded and their raw score."""
+    scores = lexical_scores(index, queries, weights, where, min_match)
+    return top_k(scores.withColumnRenamed("score", "raw").withColumn("score", rounded(F.col("raw"))), size)
 
 
 def lexical_leg(
     index: LexicalIndex | DataFrame, queries: DataFrame, k: int = D.DEFAULT_K, where=None, pool: int | None = None,
     weights: dict[str, float] | None = None, min_match: str | int | None = None,
 ) -> DataFrame:
-    """The keyword candidates of a hybrid search; descriptions are not searched."""
-    return lexical_search(
+    """The keyword candidates of a hybrid search, raw scores included; descriptions are not searched."""
+    return lexical_candidates(
         index, queries, D.pool_size(k, pool), weights or D.HYBRID_WEIGHTS, where, min_match
     )
 

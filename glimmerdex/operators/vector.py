@@ -63,6 +63,7 @@ class Best:
         self.floor = np.full(len(queries), -np.inf)
         self.rows = np.empty(0, np.int64)
         self.scores = np.empty(0)
+        self.raw = np.empty(0)
         self.keys = np.empty(0, dtype=object)
 
     def add(self, vectors: np.ndarray, keys: pa.Array) -> None:
@@ -80,22 +81,22 @@ class Best:
             # One rounding step below the floor still may tie with it after rounding.
             row, column = np.nonzero((scores >= (floor - 2 * HALF_STEP)[:, None]) & np.isfinite(scores))
             if len(row):
-                kept = np.round(scores[row, column], D.SCORE_DIGITS)
-                self._merge(row + start, kept, keys.take(pa.array(column)))
+                self._merge(row + start, scores[row, column], keys.take(pa.array(column)))
 
-    def _merge(self, rows: np.ndarray, scores: np.ndarray, keys: pa.Array) -> None:
+    def _merge(self, rows: np.ndarray, raw: np.ndarray, keys: pa.Array) -> None:
         names = np.array([k.encode() for k in keys.to_pylist()], dtype=object)
         rows = np.concatenate([self.rows, rows])
-        scores = np.concatenate([self.scores, scores])
+        raw = np.concatenate([self.raw, raw])
         names = np.concatenate([self.keys, names])
+        scores = np.round(raw, D.SCORE_DIGITS)
         order = np.lexsort((names.astype("S"), -scores, rows))
-        rows, scores, names = rows[order], scores[order], names[order]
+        rows, scores, raw, names = rows[order], scores[order], raw[order], names[order]
         first = np.searchsorted(rows, rows, side="left")
         place = np.arange(len(rows)) - first
         kept = place < self.pool
         full = place == self.pool - 1
         self.floor[rows[full]] = scores[full]
-        self.rows, self.scores, self.keys = rows[kept], scores[kept], names[kept]
+        self.rows, self.scores, self.raw, self.keys = rows[kept], scores[kept], raw[kept], names[kept]
 
     def table(self, query_ids: pa.Array) -> pa.Table:
         return pa.table(
@@ -103,6 +104,7 @@ class Best:
                 "query_id": query_ids.take(pa.array(self.rows, pa.int64())),
                 "doc_key": pa.array([k.decode() for k in self.keys], pa.string()),
                 "score": pa.array(self.scores, pa.float64()),
+                "raw": pa.array(self.raw, pa.float64()),
             }
         )
 
@@ -113,6 +115,7 @@ def _scored_schema(queries: DataFrame) -> T.StructType:
             T.StructField("query_id", queries.schema["query_id"].dataType),
             T.StructField("doc_key", T.StringType()),
             T.StructField("score", T.DoubleType()),
+            T.StructField("raw", T.DoubleType()),
         ]
     )
 
@@ -178,9 +181,9 @@ def _by_cells(documents: DataFrame, queries: DataFrame, pool: int, n_docs: int,
 def vector_pool(
     documents: DataFrame, queries: DataFrame, pool: int, field: str = "embedding", where=None, by_cells: bool | None = None
 ) -> DataFrame:
-    """(query_id, doc_key, score, rank): the `pool` nearest documents of each query vector.
+    """(query_id, doc_key, score, raw, rank): the `pool` nearest documents of each query vector.
 
-    Score is (1 + cosine) / 2 in double precision. Ranks follow the rounded score,
+    The raw score is (1 + cosine) / 2 in double precision. Ranks follow the rounded score,
     then the key, the same within a block as over all blocks.
     """
     check_vectors(documents, field)
@@ -204,7 +207,7 @@ def knn_search(
 ) -> DataFrame:
     """(query_id, doc_key, score, rank): exact nearest documents; filters act before the top-k."""
     candidates = vector_pool(documents, queries, D.pool_size(k, pool), field, where, by_cells)
-    return candidates.filter(F.col("rank") <= k)
+    return candidates.filter(F.col("rank") <= k).drop("raw")
 
 
 def hyperplanes(dimension: int, tables: int, bits: int, seed: int = 7) -> np.ndarray:

@@ -82,7 +82,7 @@ class SearchIndex:
         checked = validate(source.withColumn("_order", order), id_col, text_col, "_order")
         documents = build_documents(
             checked.filter(F.col("reason").isNull()), self.index, id_col, text_col, metadata_cols, metadata_json,
-            embedding_col, F.col("_order"), self.base_uri,
+            embedding_col, F.col("_order"), base_uri=self.base_uri,
         )
         self.store.upsert(documents if embedding_col else self._embedded(documents))
         return checked.filter(F.col("reason").isNotNull()).drop("_order")
