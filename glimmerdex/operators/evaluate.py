@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glimmerdex.functions.text import tokens
-from glimmerdex.plans.sizing import broadcast_if_small
+from glimmerdex.plans.sizing import is_small
 
 ANCHOR = 6
 
@@ -55,14 +55,11 @@ def known_items(documents: DataFrame, passages: DataFrame) -> DataFrame:
     anchors = passages.filter(F.size(tokens("query_text")) >= ANCHOR + 2).select(
         "query_id", F.col("query_text").alias("_passage"), runs("query_text")[1].alias("_run")
     )
-    candidates = (
-        documents.select("doc_key", F.explode_outer(F.array_distinct(runs("text"))).alias("_run"))
-        .join(broadcast_if_small(anchors), "_run")
-        .select("doc_key", "query_id", "_passage")
-    )
-    return (
-        documents.select("doc_key", "text")
-        .join(broadcast_if_small(candidates), "doc_key")
-        .filter(F.contains("text", "_passage"))
-        .select("query_id", "doc_key")
-    )
+    if is_small(anchors):
+        # The text rides along to the check; nothing is shuffled.
+        met = documents.select("doc_key", "text", F.explode_outer(F.array_distinct(runs("text"))).alias("_run"))
+        met = met.join(F.broadcast(anchors), "_run")
+    else:
+        met = documents.select("doc_key", F.explode_outer(F.array_distinct(runs("text"))).alias("_run"))
+        met = met.join(anchors, "_run").join(documents.select("doc_key", "text"), "doc_key")
+    return met.filter(F.contains("text", "_passage")).select("query_id", "doc_key")

@@ -9,7 +9,7 @@ from glimmerdex import decisions as D
 from glimmerdex.operators.filters import min_score as drop_below
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.lexical import LexicalIndex, lexical_leg
-from glimmerdex.operators.ranking import rounded, top_k
+from glimmerdex.operators.ranking import most_rows, rounded, top_k
 from glimmerdex.operators.shaping import attach_documents
 from glimmerdex.operators.vector import check_vectors, vector_pool
 
@@ -74,9 +74,11 @@ def freshness_factor(timestamp: Column, as_of: str, boost: float) -> Column:
     return F.lit(1.0) + F.lit(float(boost)) * F.coalesce(gain, F.lit(0.0))
 
 
-def freshness_boost(hits: DataFrame, documents: DataFrame, boost: float, as_of: str, timestamp: str = "timestamp") -> DataFrame:
+def freshness_boost(
+    hits: DataFrame, documents: DataFrame, boost: float, as_of: str, timestamp: str = "timestamp", at_most: int | None = None
+) -> DataFrame:
     """score x (1 + boost x exp(-age in days / 30)), age against an explicit date."""
-    rows = attach_documents(hits, documents, [timestamp])
+    rows = attach_documents(hits, documents, [timestamp], at_most)
     factor = freshness_factor(F.col(timestamp), as_of, boost)
     return rows.withColumn("score", F.col("score") * factor).drop(timestamp)
 
@@ -143,12 +145,13 @@ def tuned_search(
     )
     pools = joined_pools(lexical, vector, mode, knobs["lexical_norm_k"])
     hits = fuse(pools, knobs["lexical_weight"], knobs["vector_weight"])
+    at_most = most_rows(queries, 2 * D.pool_size(rows, knobs["vector_topk"]))
     if knobs["quality_boost"] and quality is not None:
         hits = quality_boost(hits, quality, knobs["quality_boost"])
     if knobs["freshness_boost"]:
         if as_of is None:
             raise ValueError("a freshness boost needs as_of")
-        hits = freshness_boost(hits, documents, knobs["freshness_boost"], as_of)
+        hits = freshness_boost(hits, documents, knobs["freshness_boost"], as_of, at_most=at_most)
     hits = hits.withColumn("score", rounded(F.col("score")))
     if knobs["min_score"] is not None:
         hits = drop_below(hits, knobs["min_score"])

@@ -54,17 +54,19 @@ def postings(documents: DataFrame, fields: list[str], vocabulary: DataFrame | No
     With a vocabulary only its terms are counted, which happens before the
     aggregate. Documents partitioned by doc_key are counted without a shuffle.
     """
-    lengths = [F.size(f"terms_{f}").alias(f"dl_{f}") for f in fields]
-    pairs = [c for f in fields for c in (F.lit(f), F.col(f"terms_{f}"))]
-    by_field = _token_columns(documents, fields).select(
-        "doc_key", *lengths, F.stack(F.lit(len(fields)), *pairs).alias("field", "terms")
+    lengths = [f"dl_{f}" for f in fields]
+    # Lengths first, so that the generator below need not carry the token arrays along.
+    measured = _token_columns(documents, fields).select(
+        "doc_key", *[F.size(f"terms_{f}").alias(f"dl_{f}") for f in fields], *[f"terms_{f}" for f in fields]
     )
-    words = by_field.select("doc_key", *[f"dl_{f}" for f in fields], "field", F.explode_outer("terms").alias("term"))
+    numbered = [c for i, f in enumerate(fields) for c in (F.lit(i), F.col(f"terms_{f}"))]
+    by_field = measured.select("doc_key", *lengths, F.stack(F.lit(len(fields)), *numbered).alias("field", "terms"))
+    words = by_field.select("doc_key", *lengths, "field", F.explode_outer("terms").alias("term"))
     words = words.filter(F.col("term").isNotNull())
     if vocabulary is not None:
         words = words.join(vocabulary, "term", "left_semi")
-    counts = [F.count(F.when(F.col("field") == f, 1)).cast("int").alias(f"tf_{f}") for f in fields]
-    return words.groupBy("doc_key", *[f"dl_{f}" for f in fields], "term").agg(*counts)
+    counts = [F.count(F.when(F.col("field") == i, 1)).cast("int").alias(f"tf_{f}") for i, f in enumerate(fields)]
+    return words.groupBy("doc_key", *lengths, "term").agg(*counts)
 
 
 def long_postings(rows: DataFrame, fields: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glimmerdex.operators.ranking import top_k
@@ -41,5 +41,8 @@ def get_by_ids(documents: DataFrame, requests: DataFrame) -> DataFrame:
 
 def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """Primary hits, and secondary hits for the queries that have none."""
-    answered = broadcast_if_small(primary.select("query_id").distinct())
-    return primary.unionByName(secondary.join(answered, "query_id", "left_anti"))
+    first, second = primary.withColumn("_choice", F.lit(0)), secondary.withColumn("_choice", F.lit(1))
+    # A query's group is its two result lists; neither search is planned twice.
+    chosen = F.min("_choice").over(Window.partitionBy("query_id"))
+    both = first.unionByName(second).withColumn("_chosen", chosen)
+    return both.filter(F.col("_choice") == F.col("_chosen")).drop("_choice", "_chosen")

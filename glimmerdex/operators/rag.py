@@ -17,16 +17,20 @@ GROUNDED_BEFORE = "Using nothing but the context, give a short and factual answe
 GROUNDED_AFTER = "'. Say so when the context does not hold the answer, and name the titles you relied on."
 
 
-def rag_context(hits: DataFrame, documents: DataFrame, docs: int | None = None, words: int | None = None) -> DataFrame:
+def rag_context(
+    hits: DataFrame, documents: DataFrame, docs: int | None = None, words: int | None = None, n_queries: int | None = None
+) -> DataFrame:
     """(query_id, context): the top hits in rank order, one after the other.
 
     Each part is 'title - description - first words of text - '. Zero or None
-    mean the defaults. A group holds at most `docs` rows.
+    mean the defaults. A group holds at most `docs` rows. `n_queries` bounds the
+    result rows, which are then broadcast to the documents.
     """
     docs = docs or D.RAG_DOCS
     words = words or D.RAG_WORDS
     top = hits.filter(F.col("rank") <= docs).select("query_id", "rank", "doc_key")
-    rows = attach_documents(top, documents, ["title", "description", "text"])
+    at_most = None if n_queries is None else n_queries * docs
+    rows = attach_documents(top, documents, ["title", "description", "text"], at_most)
 
     def value(name: str) -> Column:
         return joined(F.col(name), isinstance(rows.schema[name].dataType, T.ArrayType))

@@ -50,6 +50,11 @@ def top_k(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
 
+def most_rows(queries: DataFrame, k: int) -> int:
+    """The greatest number of result rows, from the number of queries."""
+    return queries.count() * k
+
+
 def without_score(hits: DataFrame) -> DataFrame:
     """The same result rows with scores dropped."""
     return hits.drop("score")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glimmerdex.functions.text import joined
-from glimmerdex.plans.sizing import broadcast_if_small
+from glimmerdex.plans.sizing import broadcast_up_to
 
 
 def field_list(rows: DataFrame, fields: str | list[str] = "*") -> DataFrame:
@@ -37,19 +37,22 @@ def result_shape(rows: DataFrame, text_field: str = "text", fill_empty: bool = F
     )
 
 
-def attach_documents(hits: DataFrame, documents: DataFrame, fields: list[str]) -> DataFrame:
+def attach_documents(hits: DataFrame, documents: DataFrame, fields: list[str], at_most: int | None = None) -> DataFrame:
     """Stored fields joined to the few result rows.
 
-    Wide columns stay out of the ranking plans; the result rows are broadcast to
-    the document scan when their measured size allows it.
+    Wide columns stay out of the ranking plans. `at_most` is the known greatest
+    number of result rows; within bounds they are broadcast to the document scan,
+    and the documents are not shuffled.
     """
     stored = documents.select("doc_key", *fields)
-    return broadcast_if_small(hits).join(stored, "doc_key")
+    return broadcast_up_to(hits, at_most).join(stored, "doc_key")
 
 
-def shaped_results(hits: DataFrame, documents: DataFrame, text_field: str = "text", fill_empty: bool = False) -> DataFrame:
+def shaped_results(
+    hits: DataFrame, documents: DataFrame, text_field: str = "text", fill_empty: bool = False, at_most: int | None = None
+) -> DataFrame:
     """(query_id, rank, doc_key, score, page_content, metadata)."""
     fields = list(dict.fromkeys([text_field, "meta", "meta_json", "ext_id"]))
-    rows = result_shape(attach_documents(hits, documents, fields), text_field, fill_empty)
+    rows = result_shape(attach_documents(hits, documents, fields, at_most), text_field, fill_empty)
     kept = [c for c in hits.columns if c != "doc_key"]
     return rows.select("doc_key", *kept, "page_content", "metadata")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from glimmerdex import decisions as D
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.ranking import rank_order, top_k
-from glimmerdex.plans.sizing import broadcast_if_small, measure
+from glimmerdex.plans.sizing import broadcast_if_small
 
 MAX_QUERY_ROWS = 50_000
 MAX_QUERY_BYTES = 256 * 1024 * 1024
@@ -130,11 +130,13 @@ def _same_dimension(rows: DataFrame, dimension: int) -> DataFrame:
     return rows.filter(F.size("vector") == dimension)
 
 
-def _dimension(queries: DataFrame) -> int:
-    sizes = queries.agg(F.min(F.size("vector")).alias("low"), F.max(F.size("vector")).alias("high")).first()
-    if sizes["low"] != sizes["high"]:
-        raise ValueError(f"query vectors have {sizes['low']} to {sizes['high']} dimensions")
-    return sizes["high"] or 0
+def _extent(queries: DataFrame) -> tuple[int, int]:
+    """Number of query vectors and their common dimension."""
+    size = F.size("vector")
+    row = queries.agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("low"), F.max(size).alias("high")).first()
+    if row["low"] != row["high"]:
+        raise ValueError(f"query vectors have {row['low']} to {row['high']} dimensions")
+    return row["n"], row["high"] or 0
 
 
 def _by_broadcast(documents: DataFrame, queries: DataFrame, pool: int) -> DataFrame:
@@ -189,10 +191,9 @@ def vector_pool(
     check_vectors(documents, field)
     docs = with_vectors(documents, field, where)
     asked = _query_vectors(queries)
-    n_queries, size = measure(asked)
+    n_queries, dimension = _extent(asked)
     if by_cells is None:
-        by_cells = n_queries > MAX_QUERY_ROWS or size > MAX_QUERY_BYTES
-    dimension = _dimension(asked)
+        by_cells = n_queries > MAX_QUERY_ROWS or n_queries * dimension * 8 > MAX_QUERY_BYTES
     docs = _same_dimension(docs, dimension)
     if by_cells:
         scored = _by_cells(docs, asked, pool, docs.count(), n_queries)
@@ -252,7 +253,7 @@ def knn_approx(
     """
     check_vectors(documents, field)
     asked = _query_vectors(queries)
-    dimension = _dimension(asked)
+    _, dimension = _extent(asked)
     if stored is None:
         docs = _same_dimension(with_vectors(documents, field, where), dimension)
         stored = signatures(docs, "doc_key", tables, bits, dimension, seed)

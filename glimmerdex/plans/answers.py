@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from glimmerdex import decisions as D
 from glimmerdex.functions.text import highlight
 from glimmerdex.operators import evaluate, facets, lexical, rag, shaping
+from glimmerdex.operators.ranking import most_rows
 from glimmerdex.plans import inputs as I
 from glimmerdex.plans import search
 from glimmerdex.plans.inputs import query
@@ -28,7 +29,9 @@ def facet_counts_of_search(spark, sf):
     """Facets over the result rows of a search."""
     index = I.searchable(spark, sf)
     hits = lexical.lexical_search(index, I.queries(spark, sf), 10)
-    return facets.facet_counts(shaping.attach_documents(hits, I.documents(spark, sf), ["source"]), ["source"])
+    asked = I.queries(spark, sf)
+    found = shaping.attach_documents(hits, I.documents(spark, sf), ["source"], most_rows(asked, 10))
+    return facets.facet_counts(found, ["source"])
 
 
 # Words and gaps of a text, in SQL.
@@ -46,7 +49,7 @@ def highlighted(spark, sf):
     hits = lexical.lexical_search(index, asked, 3).select("query_id", "rank", "doc_key")
     # At most the distinct words of one query per group.
     terms = lexical.query_terms(asked).groupBy("query_id").agg(F.collect_list("term").alias("terms"))
-    rows = shaping.attach_documents(hits, I.documents(spark, sf), ["text"]).join(terms, "query_id")
+    rows = shaping.attach_documents(hits, I.documents(spark, sf), ["text"], most_rows(asked, 3)).join(terms, "query_id")
     return rows.select("query_id", "rank", "doc_key", highlight("text", "terms").alias("snippet"))
 
 
@@ -58,7 +61,7 @@ context AS (SELECT query_id, string_agg(title || ' - ' || description || ' - ' |
 
 def _context(spark, sf):
     hits = search._hybrid(spark, sf, "union", D.RAG_DOCS)
-    return rag.rag_context(hits, I.documents(spark, sf))
+    return rag.rag_context(hits, I.documents(spark, sf), n_queries=I.queries(spark, sf).count())
 
 
 @query("rag_context", f"WITH {_CONTEXT_SQL} SELECT query_id, context FROM context")

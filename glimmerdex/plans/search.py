@@ -293,7 +293,7 @@ boosted AS (SELECT query_id, doc_key, mixed * (1 + CAST(0.5 AS DOUBLE) * exp(-gr
   FROM fused JOIN idx USING (doc_key)),
 {I.sql_top("top", "boosted", 10)} SELECT query_id, rank, doc_key, score FROM top""")
 def freshness_boost(spark, sf):
-    hits = hybrid.freshness_boost(_fused(spark, sf), _dated_documents(spark, sf), 0.5, AS_OF)
+    hits = hybrid.freshness_boost(_fused(spark, sf), _dated_documents(spark, sf), 0.5, AS_OF, at_most=ranking.most_rows(I.queries(spark, sf), 20))
     return _hits(ranking.top_k(hits.withColumn("score", ranking.rounded(F.col("score"))), 10))
 
 

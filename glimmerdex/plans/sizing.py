@@ -50,6 +50,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_by
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
+def broadcast_up_to(df: DataFrame, at_most: int | None) -> DataFrame:
+    """Broadcast hint for narrow rows whose greatest number follows from the plan, such as
+    queries x k. Nothing is run to find out; without a known bound the plan shuffles."""
+    return F.broadcast(df) if at_most is not None and at_most <= MAX_BROADCAST_ROWS // 4 else df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only for local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

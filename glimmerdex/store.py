@@ -16,7 +16,7 @@ from glimmerdex import decisions as D
 from glimmerdex.operators import embed, hybrid, lexical, lookup, rag, shaping, tuning, vector
 from glimmerdex.operators.documents import build_documents
 from glimmerdex.operators.filters import to_column
-from glimmerdex.operators.ranking import retriever, without_score
+from glimmerdex.operators.ranking import most_rows, retriever, without_score
 from glimmerdex.operators.upsert import validate
 from glimmerdex.sources.corpus import corpus_from_texts
 from glimmerdex.sources.index_store import IndexStore
@@ -130,8 +130,9 @@ class SearchIndex:
     ) -> DataFrame:
         """(query_id, rank, doc_key, score, page_content, metadata); lexical wins over hybrid."""
         documents = self.documents()
+        query = self.queries(query)
         hits = self._hits(documents, query, k, filter, hybrid, lexical, mode, alpha)
-        return shaping.shaped_results(hits, documents, self.text_field)
+        return shaping.shaped_results(hits, documents, self.text_field, at_most=most_rows(query, k))
 
     def _hits(self, documents, query, k, filter, is_hybrid, is_lexical, mode, alpha) -> DataFrame:
         where = to_column(filter, self.columns)
@@ -155,19 +156,21 @@ class SearchIndex:
             embedding = self.spark.createDataFrame([(0, [float(x) for x in embedding])], "query_id long, query_vec array<double>")
         documents = self.documents()
         hits = vector.knn_search(documents, embedding, k, self.vector_field, to_column(filter, self.columns))
-        return without_score(shaping.shaped_results(hits, documents, self.text_field))
+        at_most = most_rows(embedding, k)
+        return without_score(shaping.shaped_results(hits, documents, self.text_field, at_most=at_most))
 
     def hybrid_search(self, query: Queries, rows: int = D.HYBRID_DEFAULT_K, mode: str = "union", alpha: float = 0.5, fields: str = "*,score", filter=None) -> DataFrame:
         """Stored fields of the hits, chosen by `fields`."""
-        documents = self.documents()
+        documents, query = self.documents(), self.queries(query)
         hits = self._hits(documents, query, rows, filter, True, False, mode, alpha)
-        found = shaping.attach_documents(hits, documents, [c for c in documents.columns if c != "doc_key"])
+        stored = [c for c in documents.columns if c != "doc_key"]
+        found = shaping.attach_documents(hits, documents, stored, most_rows(query, rows))
         return shaping.field_list(found, f"query_id,rank,{fields}")
 
     def embed_and_search(self, query: Queries, rows: int = D.TUNED_DEFAULT_ROWS, quality: DataFrame | None = None, as_of: str | None = None, **knobs) -> DataFrame:
-        documents = self.documents()
+        documents, query = self.documents(), self.queries(query)
         hits = self._tuned(documents, query, rows, knobs, quality, as_of)
-        return shaping.shaped_results(hits, documents, self.text_field)
+        return shaping.shaped_results(hits, documents, self.text_field, at_most=most_rows(query, rows))
 
     def _tuned(self, documents, query, rows, knobs, quality=None, as_of=None) -> DataFrame:
         settled = tuning.knobs(knobs, self.saved_tuning)
@@ -183,11 +186,11 @@ class SearchIndex:
 
         A filter goes to hybrid retrieval directly.
         """
-        documents = self.documents()
+        documents, query = self.documents(), self.queries(query)
         docs = docs or D.RAG_DOCS
         plain = self._hits(documents, query, docs, filter, True, False, "union", 0.5)
         hits = plain if filter is not None else lookup.with_fallback(self._tuned(documents, query, docs, tuning or {}), plain)
-        return rag.rag_context(hits, documents, docs, words)
+        return rag.rag_context(hits, documents, docs, words, query.count())
 
     def ai_answer(
         self, query: Queries, filter=None, rag_docs: int = D.RAG_DOCS, rag_words: int = D.RAG_WORDS,
