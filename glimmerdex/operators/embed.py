@@ -67,22 +67,17 @@ def hash_embed(
     if dims < 1:
         raise ValueError("dims must be positive")
 
-    def code(token: Column) -> Column:
-        value = hasher(token)
-        slot = F.pmod(value, F.lit(dims)).cast("int")
-        sign = F.pmod(F.shiftright(value, 32), F.lit(2))
-        return F.when(sign == 0, slot + 1).otherwise(-slot - 1)
-
-    def count(codes: pa.Array) -> pa.Array:
-        lengths = pc.list_value_length(codes).fill_null(0).to_numpy(zero_copy_only=False)
-        flat = codes.flatten().to_numpy(zero_copy_only=False)
-        cell = np.repeat(np.arange(len(codes)), lengths) * dims + np.abs(flat) - 1
-        sums = np.bincount(cell.astype(np.int64), np.sign(flat), len(codes) * dims).reshape(-1, dims)
+    def count(hashes: pa.Array) -> pa.Array:
+        lengths = pc.list_value_length(hashes).fill_null(0).to_numpy(zero_copy_only=False)
+        flat = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+        cell = np.repeat(np.arange(len(hashes)), lengths) * dims + np.mod(flat, dims)
+        sign = 1 - 2 * np.mod(flat >> 32, 2)
+        sums = np.bincount(cell, sign, len(hashes) * dims).reshape(-1, dims)
         norm = np.sqrt((sums * sums).sum(axis=1))
         with np.errstate(invalid="ignore", divide="ignore"):
             unit = (sums / norm[:, None]).astype(np.float32)
-        offsets = pa.array(np.arange(0, (len(codes) + 1) * dims, dims, dtype=np.int32))
+        offsets = pa.array(np.arange(0, (len(hashes) + 1) * dims, dims, dtype=np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()), mask=pa.array(norm == 0))
 
-    codes = F.transform(tokens(text_col), code)
-    return rows.withColumn(out, F.arrow_udf(count, T.ArrayType(T.FloatType()))(codes))
+    hashes = F.transform(tokens(text_col), hasher)
+    return rows.withColumn(out, F.arrow_udf(count, T.ArrayType(T.FloatType()))(hashes))

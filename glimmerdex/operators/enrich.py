@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glimmerdex.functions.text import tokens
-from glimmerdex.plans.sizing import broadcast_if_small
+from glimmerdex.plans.sizing import keyed_join
 
 # Frequent function words per language.
 STOP_WORDS = {
@@ -42,5 +42,5 @@ def sentiment(documents: DataFrame, lexicon: DataFrame, text_col: str = "text")
     Null when no word is found. Each document leaves its task as one partial row.
     """
     words = documents.select("doc_key", F.explode_outer(tokens(text_col)).alias("term"))
-    known = broadcast_if_small(lexicon.select("term", F.col("weight").cast("double").alias("weight")))
-    return words.join(known, "term", "left").groupBy("doc_key").agg(F.avg("weight").alias("sentiment"))
+    known = lexicon.select("term", F.col("weight").cast("double").alias("weight"))
+    return keyed_join(words, known, ["term"], "doc_key", "left").groupBy("doc_key").agg(F.avg("weight").alias("sentiment"))

@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glimmerdex.functions.text import tokens
-from glimmerdex.plans.sizing import is_small
-
-ANCHOR = 6
-
+from glimmerdex.plans.sizing import is_small, keyed_join
 
 def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10) -> DataFrame:
     """(…by, n_queries, hit_at_k, mrr) for a truth table (query_id, doc_key).
@@ -40,26 +37,21 @@ def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10
 def known_items(documents: DataFrame, passages: DataFrame) -> DataFrame:
     """(query_id, doc_key) where a passage occurs word for word in a document.
 
-    A passage of at least `ANCHOR` + 2 words must share its inner words with the
-    document, so its first inner word run is an equi-join key; each candidate is
-    then checked on the whole text. Shorter passages are no known items.
+    The inner words of a passage (all but the first and last, which may be cut)
+    must be words of the document, so its longest inner word is an equi-join key;
+    each candidate is then checked on the whole text. Passages of fewer than three
+    words are no known items.
     """
-
-    def runs(column: str):
-        words = tokens(column)
-        size = F.size(words)
-        shifted = [F.slice(words, i + 1, F.greatest(size - F.lit(ANCHOR - 1), F.lit(0))) for i in range(ANCHOR)]
-        zipped = F.arrays_zip(*[s.alias(f"w{i}") for i, s in enumerate(shifted)])
-        return F.transform(zipped, lambda z: F.xxhash64(*[z[f"w{i}"] for i in range(ANCHOR)]))
-
-    anchors = passages.filter(F.size(tokens("query_text")) >= ANCHOR + 2).select(
-        "query_id", F.col("query_text").alias("_passage"), runs("query_text")[1].alias("_run")
+    words = tokens("query_text")
+    inner = F.transform(F.slice(words, 2, F.size(words) - 2), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
+    anchors = passages.filter(F.size(words) >= 3).select(
+        "query_id", F.col("query_text").alias("_passage"), F.array_max(inner)["w"].alias("_word")
     )
+    word = F.explode_outer(F.array_distinct(tokens("text"))).alias("_word")
     if is_small(anchors):
         # The text rides along to the check; nothing is shuffled.
-        met = documents.select("doc_key", "text", F.explode_outer(F.array_distinct(runs("text"))).alias("_run"))
-        met = met.join(F.broadcast(anchors), "_run")
+        met = documents.select("doc_key", "text", word).join(F.broadcast(anchors), "_word")
     else:
-        met = documents.select("doc_key", F.explode_outer(F.array_distinct(runs("text"))).alias("_run"))
-        met = met.join(anchors, "_run").join(documents.select("doc_key", "text"), "doc_key")
+        met = keyed_join(documents.select("doc_key", word), anchors, ["_word"], "doc_key", small=False)
+        met = met.join(documents.select("doc_key", "text"), "doc_key")
     return met.filter(F.contains("text", "_passage")).select("query_id", "doc_key")

@@ -19,10 +19,9 @@ from glimmerdex import decisions as D
 from glimmerdex.functions.text import folded_tokens, query_clean, tokens
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.ranking import rounded, top_k
-from glimmerdex.plans.sizing import few_files, measure, slots, written
-from glimmerdex.plans.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
+from glimmerdex.plans import sizing
+from glimmerdex.plans.sizing import few_files, keyed_join, measure, slots, written
 
-TERM_SALTS = 32
 # Up to this many query terms the matching postings are smaller than the texts.
 FEW_TERMS = 256
 
@@ -132,22 +131,25 @@ class LexicalIndex:
             return self
         return clustered(self.documents)
 
-    def postings(self, fields: list[str], vocabulary: DataFrame, where: Column | None) -> DataFrame:
+    def postings(self, fields: list[str], vocabulary: DataFrame | None, where: Column | None) -> DataFrame:
         documents = self.documents if where is None else self.documents.filter(where)
         if self.rows is None:
             return postings(documents, fields, vocabulary)
-        any_field = F.greatest(F.lit(0), *[F.col(f"tf_{f}") for f in fields]) > 0
-        rows = self.rows.filter(any_field).join(vocabulary, "term", "left_semi")
+        rows = self.rows.filter(F.greatest(F.lit(0), *[F.col(f"tf_{f}") for f in fields]) > 0)
+        if vocabulary is not None:
+            rows = rows.join(vocabulary, "term", "left_semi")
         return rows if where is None else rows.join(documents.select("doc_key"), "doc_key", "left_semi")
 
-    def statistics(self, fields: list[str], vocabulary: DataFrame, small: bool) -> DataFrame:
+    def statistics(self, fields: list[str], vocabulary: DataFrame | None) -> DataFrame:
         """(term, df_<field>…, n_docs_<field>…, avgdl_<field>…) over the whole index."""
         if self.terms is not None and self.fields is not None:
-            known = self.terms.filter(F.col("field").isin(*fields)).join(vocabulary, "term", "left_semi")
+            known = self.terms.filter(F.col("field").isin(*fields))
+            if vocabulary is not None:
+                known = known.join(vocabulary, "term", "left_semi")
             # The fields table has one row per field.
             stats = known.join(F.broadcast(self.fields), "field")
         else:
-            stats = collection_statistics(self.documents, fields, vocabulary, small)
+            stats = collection_statistics(self.documents, fields, vocabulary)
         return stats.groupBy("term").agg(
             *[
                 F.max(F.when(F.col("field") == f, F.col(c))).alias(f"{c}_{f}")
@@ -162,9 +164,11 @@ def clustered(documents: DataFrame) -> LexicalIndex:
     return LexicalIndex(documents.repartition(slots(documents.sparkSession), "doc_key"), clustered=True)
 
 
-def collection_statistics(documents: DataFrame, fields: list[str], vocabulary: DataFrame, small: bool) -> DataFrame:
+def collection_statistics(documents: DataFrame, fields: list[str], vocabulary: DataFrame | None) -> DataFrame:
     """(field, term, df, n_docs, avgdl) in one pass over the documents.
 
+    `vocabulary` is a broadcast table of the terms wanted; None counts every term.
+
     Each document and field yields a row with its length (term null) and one per
     distinct term; partial counts leave at most one row per term and task.
     """
@@ -173,13 +177,13 @@ def collection_statistics(documents: DataFrame, fields: list[str], vocabulary: D
         "field", "dl", F.posexplode_outer(F.concat(marker, F.array_distinct("terms"))).alias("pos", "term")
     )
     is_length = F.col("pos") == 0
-    counts = (
-        marked.join(vocabulary.withColumn("_known", F.lit(True)), "term", "left")
-        .filter(is_length | F.col("_known"))
-        .groupBy("field", "term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum(F.when(is_length, F.col("dl"))).alias("length"))
+    if vocabulary is not None:
+        marked = marked.join(vocabulary.withColumn("_known", F.lit(True)), "term", "left")
+        marked = marked.filter(is_length | F.col("_known"))
+    counts = marked.groupBy("field", "term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum(F.when(is_length, F.col("dl"))).alias("length")
     )
-    if small:
+    if vocabulary is not None:
         # At most one row per field and vocabulary term, whose number was measured.
         field = Window.partitionBy("field")
         totals = counts.select(
@@ -225,20 +229,6 @@ def bm25(field: str) -> Column:
     return F.when(tf > 0, score).otherwise(F.lit(0.0))
 
 
-def _join_terms(rows: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
-    """Rows of (document, term) meet a table of query terms.
-
-    Within the measured bound that table is broadcast. Beyond it the join
-    shuffles, with each term's rows spread over salts by document, so a term that
-    occurs everywhere is not one task's work.
-    """
-    if small:
-        return rows.join(F.broadcast(terms), "term")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_key"), F.lit(TERM_SALTS)).cast("int"))
-    repeated = terms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1))))
-    return salted.join(repeated, ["term", "_salt"]).drop("_salt")
-
-
 def lexical_scores(
     index: LexicalIndex | DataFrame,
     queries: DataFrame,
@@ -259,33 +249,31 @@ def lexical_scores(
     fields = list(weights)
     terms = query_terms(queries)
     n_terms, size = measure(terms)
-    small = n_terms <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
+    small = sizing.within_bounds(n_terms, size)
     index = index.prepared(n_terms)
-    vocabulary = terms.select("term").distinct()
-    if small:
-        vocabulary = F.broadcast(vocabulary)
+    # A vocabulary too large to broadcast filters little; the join with the statistics does it then.
+    vocabulary = F.broadcast(terms.select("term").distinct()) if small else None
 
-    stats = index.statistics(fields, vocabulary, small)
-    matched = _join_terms(index.postings(fields, vocabulary, to_column(where)), stats, small)
+    stats = index.statistics(fields, vocabulary)
+    matched = keyed_join(
+        index.postings(fields, vocabulary, to_column(where)), stats, ["term"], "doc_key", small=small
+    )
     best = F.greatest(F.lit(0.0), *[F.lit(float(w)) * bm25(f) for f, w in weights.items()])
     weighted = matched.select("doc_key", "term", best.alias("weight"))
     if not index.clustered:
         # Before the queries multiply the rows, so it serves the sum as well.
         weighted = weighted.repartition("doc_key")
-    scored = (
-        _join_terms(weighted, terms, small)
-        .groupBy("query_id", "doc_key")
-        .agg(F.sum("weight").alias("score"), F.count(F.lit(1)).cast("int").alias("matched"))
-    )
+    if min_match is not None:
+        needed = terms.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("n_terms"))
+        needed = needed.select("query_id", required_terms(F.col("n_terms"), min_match).alias("needed"))
+        terms = terms.join(needed, "query_id")
+    sums = [F.sum("weight").alias("score")]
+    if min_match is not None:
+        sums += [F.count(F.lit(1)).alias("_matched"), F.max("needed").alias("_needed")]
+    scored = keyed_join(weighted, terms, ["term"], "doc_key", small=small).groupBy("query_id", "doc_key").agg(*sums)
     if min_match is None:
-        return scored.drop("matched")
-    needed = terms.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("n_terms"))
-    needed = needed.select("query_id", required_terms(F.col("n_terms"), min_match).alias("needed"))
-    return (
-        scored.join(F.broadcast(needed) if small else needed, "query_id")
-        .filter(F.col("matched") >= F.col("needed"))
-        .drop("matched", "needed")
-    )
+        return scored
+    return scored.filter(F.col("_matched") >= F.col("_needed")).drop("_matched", "_needed")
 
 
 def lexical_search(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glimmerdex.operators.ranking import top_k
-from glimmerdex.plans.sizing import broadcast_if_small
+from glimmerdex.plans.sizing import keyed_join
 
 
 def request_table(spark, ids: list[str]) -> DataFrame:
@@ -20,20 +20,17 @@ def get_by_ids(documents: DataFrame, requests: DataFrame) -> DataFrame:
     document with that original id. Missing ids give no row, repeated ids repeat.
     The documents are read once.
     """
-    wanted = broadcast_if_small(requests.select("id").distinct())
+    wanted = requests.select("id").distinct()
     names = F.explode(
         F.array(
             F.struct(F.col("doc_key").alias("id"), F.lit(0).alias("choice")),
             F.struct(F.col("ext_id").alias("id"), F.lit(1).alias("choice")),
         )
     )
-    matches = (
-        documents.withColumn("_name", names)
-        .withColumn("id", F.col("_name.id"))
-        .withColumn("_choice", F.col("_name.choice"))
-        .drop("_name")
-        .join(wanted, "id")
+    named = documents.withColumn("_name", names).select(
+        *documents.columns, F.col("_name.id").alias("id"), F.col("_name.choice").alias("_choice")
     )
+    matches = keyed_join(named, wanted, ["id"], "doc_key")
     order = [F.col("_choice"), F.col("doc_key")]
     found = top_k(matches, 1, by=("id",), order=order, rank="_rank").drop("_rank", "_choice")
     return requests.join(found, "id").orderBy("pos")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+SALTS = 32
 
 
 def _width(field: T.StructField) -> Column:
@@ -40,14 +41,34 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["b"] or 0
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    rows, size = measure(df)
-    return rows <= max_rows and size <= max_bytes
+def within_bounds(rows: int, size: int) -> bool:
+    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def is_small(df: DataFrame) -> bool:
+    return within_bounds(*measure(df))
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Broadcast hint only behind a measured size; otherwise the plan shuffles."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+    return F.broadcast(df) if is_small(df) else df
+
+
+def keyed_join(
+    rows: DataFrame, side: DataFrame, on: list[str], spread_by: str, how: str = "inner", small: bool | None = None
+) -> DataFrame:
+    """Rows meet a look-up side that has few rows per key.
+
+    Within the measured bound the side is broadcast and the rows stay where they
+    are. Beyond it the join shuffles, with the rows of each key spread over salts
+    by another column and the side repeated per salt, so a key that holds much of
+    the rows is not one task's work.
+    """
+    if is_small(side) if small is None else small:
+        return rows.join(F.broadcast(side), on, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def broadcast_up_to(df: DataFrame, at_most: int | None) -> DataFrame:

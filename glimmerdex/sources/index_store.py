@@ -15,13 +15,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glimmerdex.operators import lexical, upsert
 from glimmerdex.operators.documents import INDEX_SCHEMA, empty_index
+from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.lexical import LexicalIndex
-from glimmerdex.plans.sizing import broadcast_if_small
+from glimmerdex.plans.sizing import broadcast_if_small, keyed_join
 
 MANIFEST_SCHEMA = "index string, segment string, position long, kind string, path string"
 REMOVAL_SCHEMA = "doc_key string, ingest_seq long"
@@ -101,16 +102,16 @@ class IndexStore:
         """Remove by ids, by predicate, or everything; only keys are written."""
         now = self.read()
         left = upsert.delete(now, ids, query, delete_all)
-        if query is None and ids is None and delete_all:
+        if ids is None and not isinstance(query, Column) and not query:
             self.replace(left)
             return
-        if query is not None and query != "":
-            predicate = upsert.to_column(query)
+        if isinstance(query, Column) or query:
+            predicate = to_column(query)
             gone = now.filter(F.coalesce(predicate, F.lit(False)))
         else:
-            listed = broadcast_if_small(ids.select(F.col("id").cast("string").alias("_id")).distinct())
+            listed = ids.select(F.col("id").cast("string").alias("_id")).distinct()
             names = F.explode(F.array_distinct(F.array("doc_key", "ext_id"))).alias("_id")
-            gone = now.select("doc_key", names).join(listed, "_id", "left_semi").select("doc_key").distinct()
+            gone = keyed_join(now.select("doc_key", names), listed, ["_id"], "doc_key", "left_semi").select("doc_key").distinct()
         self.remove(gone)
 
     def compact(self) -> None:
