@@ -70,7 +70,8 @@ def quality_boost(hits: DataFrame, quality: DataFrame, boost: float) -> DataFram
 
 def freshness_factor(timestamp: Column, as_of: str, boost: float) -> Column:
     age = F.greatest(F.datediff(F.lit(as_of).cast("date"), timestamp.cast("date")), F.lit(0))
-    gain = F.exp(-age / F.lit(D.FRESHNESS_DAYS))
+    # Without a date there is no gain; `greatest` alone would take it for today's.
+    gain = F.when(timestamp.isNotNull(), F.exp(-age / F.lit(D.FRESHNESS_DAYS)))
     return F.lit(1.0) + F.lit(float(boost)) * F.coalesce(gain, F.lit(0.0))
 
 

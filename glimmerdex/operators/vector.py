@@ -228,7 +228,7 @@ def signatures(rows: DataFrame, id_col: str, tables: int, bits: int, dimension:
             if not batch.num_rows:
                 continue
             side = (_matrix(batch.column("vector")) @ planes) > 0
-            codes = (side.reshape(-1, tables, bits) * place).sum(axis=2).astype(np.int32)
+            codes = (side.reshape(batch.num_rows, tables, bits) * place).sum(axis=2).astype(np.int32)
             offsets = pa.array(np.arange(0, (len(codes) + 1) * tables, tables, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), batch.column("vector"), pa.ListArray.from_arrays(offsets, codes.ravel())],
