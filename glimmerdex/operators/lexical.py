@@ -20,7 +20,7 @@ from glimmerdex.functions.text import folded_tokens, query_clean, tokens
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.ranking import rounded, top_k
 from glimmerdex.plans import sizing
-from glimmerdex.plans.sizing import few_files, keyed_join, measure, slots, written
+from glimmerdex.plans.sizing import few_files, keyed_join, measure, written
 
 # Up to this many query terms the matching postings are smaller than the texts.
 FEW_TERMS = 256
@@ -161,7 +161,7 @@ class LexicalIndex:
 
 def clustered(documents: DataFrame) -> LexicalIndex:
     """Documents partitioned by key once, for one or more searches."""
-    return LexicalIndex(documents.repartition(slots(documents.sparkSession), "doc_key"), clustered=True)
+    return LexicalIndex(documents.repartition("doc_key"), clustered=True)
 
 
 def collection_statistics(documents: DataFrame, fields: list[str], vocabulary: DataFrame | None) -> DataFrame:

@@ -107,9 +107,9 @@ def few_files(df: DataFrame) -> bool:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Few input files are spread over all slots by key; many are left where they are."""
-    return df.repartition(slots(df.sparkSession), key) if few_files(df) else df
+    """Few input files are spread over all slots by key; many are left where they are.
 
-
-def slots(spark: SparkSession) -> int:
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    The number of partitions is left to spark.sql.shuffle.partitions and to
+    adaptive execution, which merges small ones.
+    """
+    return df.repartition(key) if few_files(df) else df
