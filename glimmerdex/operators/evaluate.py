@@ -13,24 +13,21 @@ def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10
 
     A query counts with the best rank of any of its true documents.
     """
-    asked = truth.select("query_id").distinct()
-    runs = hits.select(*by).distinct()
+    known = truth.select("query_id", "doc_key", F.lit(True).alias("_true"))
+    rank = F.when(F.col("_true") & (F.col("rank") <= k), F.col("rank"))
     best = (
-        hits.filter(F.col("rank") <= k)
-        .join(truth, ["query_id", "doc_key"])
+        hits.join(known, ["query_id", "doc_key"], "left")
         .groupBy(*by, "query_id")
-        .agg(F.min("rank").alias("best"))
+        .agg(F.min(rank).alias("_best"))
+        .groupBy(*by)
+        .agg(F.count("_best").alias("_hits"), F.coalesce(F.sum(1.0 / F.col("_best")), F.lit(0.0)).alias("_sum"))
     )
-    found = best.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_hits"), F.sum(1.0 / F.col("best")).alias("_reciprocal")
-    )
-    total = asked.agg(F.count(F.lit(1))).scalar()
-    rows = runs.join(found, by, "left").withColumn("n_queries", total)
+    rows = best.withColumn("n_queries", truth.agg(F.count_distinct("query_id")).scalar())
     return rows.select(
         *by,
         "n_queries",
-        F.round(F.coalesce(F.col("_hits"), F.lit(0)) / F.col("n_queries"), 6).alias("hit_at_k"),
-        F.round(F.coalesce(F.col("_reciprocal"), F.lit(0.0)) / F.col("n_queries"), 6).alias("mrr"),
+        F.round(F.col("_hits") / F.col("n_queries"), 6).alias("hit_at_k"),
+        F.round(F.col("_sum") / F.col("n_queries"), 6).alias("mrr"),
     )
 
 

@@ -41,7 +41,7 @@ def with_vectors(documents: DataFrame, field: str, where=None) -> DataFrame:
     """(doc_key, vector) of the documents that have one and pass the filter."""
     predicate = to_column(where)
     rows = documents if predicate is None else documents.filter(predicate)
-    return rows.filter(F.col(field).isNotNull()).select("doc_key", F.col(field).cast("array<double>").alias("vector"))
+    return rows.filter(F.col(field).isNotNull()).select("doc_key", F.col(field).alias("vector"))
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -74,12 +74,12 @@ class Best:
             block = slice(start, start + step)
             scores = (1.0 + self.queries[block] @ vectors.T) / 2.0
             scores[np.isnan(scores)] = -np.inf
-            floor = self.floor[block]
-            if scores.shape[1] > self.pool:
-                kth = np.partition(scores, scores.shape[1] - self.pool, axis=1)[:, scores.shape[1] - self.pool]
-                floor = np.maximum(floor, kth)
-            # One rounding step below the floor still may tie with it after rounding.
-            row, column = np.nonzero((scores >= (floor - 2 * HALF_STEP)[:, None]) & np.isfinite(scores))
+            # A score up to one rounding step below the floor may tie with it once rounded.
+            good = (scores >= (self.floor[block] - 2 * HALF_STEP)[:, None]) & np.isfinite(scores)
+            if scores.shape[1] > self.pool and good.sum() > 4 * self.pool * len(scores):
+                kth = np.partition(scores, -self.pool, axis=1)[:, -self.pool]
+                good &= scores >= (kth - 2 * HALF_STEP)[:, None]
+            row, column = np.nonzero(good)
             if len(row):
                 self._merge(row + start, scores[row, column], keys.take(pa.array(column)))
 

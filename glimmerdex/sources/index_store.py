@@ -25,6 +25,7 @@ from glimmerdex.operators.lexical import LexicalIndex
 from glimmerdex.plans.sizing import broadcast_if_small, keyed_join
 
 MANIFEST_SCHEMA = "index string, segment string, position long, kind string, path string"
+ROWS_PER_FILE = 100_000
 REMOVAL_SCHEMA = "doc_key string, ingest_seq long"
 
 
@@ -55,8 +56,13 @@ class IndexStore:
         entry = self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1)
         entry.write.mode("overwrite").json(f"{self.folder}/manifest/{segment}")
 
-    def _write(self, rows: DataFrame, kind: str, segment: str | None, visible: bool) -> dict:
-        """Write a segment. A named segment may be written again, as a replayed batch does."""
+    def _write(self, rows: DataFrame, kind: str, segment: str | None, visible: bool, at_most: int | None = None) -> dict:
+        """Write a segment. A named segment may be written again, as a replayed batch does.
+
+        A known greatest number of rows keeps small segments in few files.
+        """
+        if at_most is not None:
+            rows = rows.coalesce(1 + at_most // ROWS_PER_FILE)
         known = self.manifest()
         segment = segment or f"{kind}-{uuid.uuid4().hex}"
         again = next((r["position"] for r in known if r["segment"] == segment), None)
@@ -90,9 +96,11 @@ class IndexStore:
         """Publish a whole new content; `documents` has one row per key."""
         return self._write(self._conform(documents), "base", None, visible)
 
-    def upsert(self, documents: DataFrame, segment: str | None = None, visible: bool = True) -> dict:
+    def upsert(
+        self, documents: DataFrame, segment: str | None = None, visible: bool = True, at_most: int | None = None
+    ) -> dict:
         """Add or replace documents; only the given ones are written."""
-        return self._write(upsert.latest(self._conform(documents)), "upsert", segment, visible)
+        return self._write(upsert.latest(self._conform(documents)), "upsert", segment, visible, at_most)
 
     def remove(self, keys: DataFrame) -> dict:
         rows = keys.select("doc_key", F.lit(0).cast("long").alias("ingest_seq"))
@@ -100,14 +108,15 @@ class IndexStore:
 
     def delete(self, ids: DataFrame | None = None, query=None, delete_all: bool = False) -> None:
         """Remove by ids, by predicate, or everything; only keys are written."""
-        now = self.read()
-        left = upsert.delete(now, ids, query, delete_all)
-        if ids is None and not isinstance(query, Column) and not query:
-            self.replace(left)
+        by_query = isinstance(query, Column) or bool(query)
+        if not by_query and ids is None:
+            if not delete_all:
+                raise ValueError("give ids, a query, or delete_all=True")
+            self.replace(empty_index(self.spark))
             return
-        if isinstance(query, Column) or query:
-            predicate = to_column(query)
-            gone = now.filter(F.coalesce(predicate, F.lit(False)))
+        now = self.read()
+        if by_query:
+            gone = now.filter(F.coalesce(to_column(query), F.lit(False)))
         else:
             listed = ids.select(F.col("id").cast("string").alias("_id")).distinct()
             names = F.explode(F.array_distinct(F.array("doc_key", "ext_id"))).alias("_id")

@@ -42,7 +42,7 @@ def ingest_batch(
     try:
         counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count("reason").alias("bad")).first()
         accepted = checked.filter(F.col("reason").isNull())
-        store.upsert(build(accepted, F.col("_order")), segment=job)
+        store.upsert(build(accepted, F.col("_order")), segment=job, at_most=counts["n"] - counts["bad"])
         store.record_job(job, "completed", counts["n"], counts["n"] - counts["bad"], counts["bad"])
     except Exception as error:
         store.record_job(job, "failed", error=str(error)[:500])
