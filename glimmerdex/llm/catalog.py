@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from glimmerdex.llm import archive, bpe, decontaminate, forest, pii, quality, secrets, simhash, token_file  # noqa: F401
+from glimmerdex.llm import archive, bpe, decontaminate, forest, licenses, pii, quality, secrets, simhash, token_file  # noqa: F401
 from glimmerdex.llm.registry import CHECKS, QUERIES  # noqa: F401
