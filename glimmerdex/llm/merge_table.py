@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import json
-import unicodedata
 from functools import lru_cache
 
 import numpy as np
 import regex
+from tokenizers import Tokenizer
 
 END = "\ue000"  # stands for the end-of-word mark inside this module
 SUFFIX = "</w>"
@@ -147,36 +147,43 @@ class MergeTable:
         return proposals, len(failing)
 
 
+BEYOND_LATIN = "\u0250"
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
 
-def normal(piece: str) -> str:
-    """Composed and in lower case, each character on its own."""
-    piece = unicodedata.normalize("NFC", piece)
-    return piece.lower() if "Σ" not in piece else "".join([c.lower() for c in piece])
-
-
 class WordEncoder:
-    """Ids of pieces of text; the words inside them are kept too, as pieces share them."""
+    """Ids of pieces of text; the words inside them are kept too, as pieces share them.
+
+    Pieces of Latin letters are put in lower case and split here. Beyond them tables of
+    characters differ between releases of the standard, so others are normalised and
+    split by the tokenizer the vocabulary file describes.
+    """
 
     WORDS = 300_000
 
     def __init__(self, path: str):
         self.table = MergeTable(path)
+        self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, list[int]] = {}
         self.proposed = self.failed = 0
         special = sorted(self.table.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
 
+    def _split(self, text: str) -> list[str]:
+        if text.isascii() or max(text) < BEYOND_LATIN:
+            return SPLIT.findall(text.lower())
+        text = self.tokenizer.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
     def _parts(self, piece: str) -> list[tuple[str, int | None]]:
         if not any(mark in piece for mark in self.table.special):
-            return [(w, None) for w in SPLIT.findall(normal(piece))]
+            return [(w, None) for w in self._split(piece)]
         parts: list[tuple[str, int | None]] = []
         for part in self.special.split(piece):
             if part in self.table.special:
                 parts.append((part, self.table.special[part]))
             else:
-                parts += [(w, None) for w in SPLIT.findall(normal(part))]
+                parts += [(w, None) for w in self._split(part)]
         return parts
 
     def __call__(self, pieces: list[str]) -> list[np.ndarray]:
