@@ -283,7 +283,7 @@ def parse_warc(name: str, data: bytes) -> Iterator[tuple[dict[str, str], bytes]]
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """record_id, type, uri, date, page_id, payload_bytes, digest, refers_id and payload of the response and revisit records.
 
-    The size and digest of a revisit are those of the full payload, the payload itself is null."""
+    The digest of a revisit is that of the full payload; its size and the payload itself are null, see `resolved`."""
     schema = "record_id string, record_type string, uri string, date string, page_id bigint, payload_bytes bigint, payload_digest string, refers_id string, payload binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +305,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                             fields.get("warc-target-uri"),
                             fields.get("warc-date"),
                             int(page) if re.fullmatch(r"-?\d+", page) else None,
-                            int(http["content-length"]) if revisit else len(payload),
+                            None if revisit else len(payload),
                             fields["warc-payload-digest"].removeprefix("sha1:") if revisit else digest(payload),
                             fields["warc-refers-to"].strip("<>") if revisit else None,
                             None if revisit else payload,
@@ -319,10 +319,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Adds refers_to, the page_id of the response that a revisit refers to."""
-    revisits = records.filter("refers_id is not null")
+    """Adds refers_to, the page_id of the response that a revisit refers to, and gives the revisit that payload's size."""
+    revisits = records.filter("refers_id is not null").drop("payload_bytes")
     asked = revisits.select(F.col("refers_id").alias("record_id")).distinct()
-    answers = records.join(asked, "record_id", "left_semi").select(F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"))
+    answers = records.join(asked, "record_id", "left_semi").select(
+        F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"), "payload_bytes"
+    )
     plain = records.filter("refers_id is null").withColumn("refers_to", F.lit(None).cast("bigint"))
     return plain.unionByName(keyed_join(revisits, answers, ["refers_id"], "record_id"))
 
