@@ -146,13 +146,12 @@ class Model:
 
 def isotonic(raw: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the increasing fit of labels to scores changes, and its values, by pooling adjacent violators."""
-    order = np.argsort(raw, kind="stable")
+    levels, at = np.unique(raw, return_inverse=True)
+    sums, rows = np.bincount(at, label, len(levels)), np.bincount(at, minlength=len(levels))
     blocks: list[list[float]] = []  # label sum, rows, lowest and highest score
-    for x, y in zip(raw[order].tolist(), label[order].tolist(), strict=True):
-        blocks.append([y, 1.0, x, x])
-        while len(blocks) > 1 and (
-            blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1] or blocks[-2][3] == blocks[-1][2]
-        ):
+    for x, y, n in zip(levels.tolist(), sums.tolist(), rows.tolist(), strict=True):
+        blocks.append([y, n, x, x])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             y1, n1, _, high = blocks.pop()
             blocks[-1][0] += y1
             blocks[-1][1] += n1
