@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glimmerdex.functions.text import tokens
-from glimmerdex.plans.sizing import is_small, keyed_join
+from glimmerdex.plans.sizing import is_small, keyed_join, written
+
+GRAM = 6  # characters of a passage without inner words that are looked up
+
 
 def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10) -> DataFrame:
     """(…by, n_queries, hit_at_k, mrr) for a truth table (query_id, doc_key).
 
     A query counts with the best rank of any of its true documents.
     """
-    known = truth.select("query_id", "doc_key", F.lit(True).alias("_true"))
+    known = written(truth.select("query_id", "doc_key"), "truth").select("query_id", "doc_key", F.lit(True).alias("_true"))
     rank = F.when(F.col("_true") & (F.col("rank") <= k), F.col("rank"))
     best = (
         hits.join(known, ["query_id", "doc_key"], "left")
@@ -22,7 +25,7 @@ def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10
         .groupBy(*by)
         .agg(F.count("_best").alias("_hits"), F.coalesce(F.sum(1.0 / F.col("_best")), F.lit(0.0)).alias("_sum"))
     )
-    rows = best.withColumn("n_queries", truth.agg(F.count_distinct("query_id")).scalar())
+    rows = best.crossJoin(F.broadcast(known.agg(F.count_distinct("query_id").alias("n_queries"))))  # one row
     return rows.select(
         *by,
         "n_queries",
@@ -34,21 +37,29 @@ def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10
 def known_items(documents: DataFrame, passages: DataFrame) -> DataFrame:
     """(query_id, doc_key) where a passage occurs word for word in a document.
 
-    The inner words of a passage (all but the first and last, which may be cut)
-    must be words of the document, so its longest inner word is an equi-join key;
-    each candidate is then checked on the whole text. Passages of fewer than three
-    words are no known items.
+    The inner words of a passage (all but the first and last, which may be cut) must be
+    words of the document, so its longest inner word is an equi-join key. A passage
+    without inner words is met by its first characters instead, one of the document's
+    character n-grams. Only keys travel to that join; texts are attached to the
+    candidates, which are then checked on the whole text. An empty passage is no item.
     """
     words = tokens("query_text")
-    inner = F.transform(F.slice(words, 2, F.size(words) - 2), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
-    anchors = passages.filter(F.size(words) >= 3).select(
+    inner = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0))), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
+    asked = passages.filter(F.length("query_text") > 0).select(
         "query_id", F.col("query_text").alias("_passage"), F.array_max(inner)["w"].alias("_word")
     )
-    word = F.explode_outer(F.array_distinct(tokens("text"))).alias("_word")
-    if is_small(anchors):
-        # The text rides along to the check; nothing is shuffled.
-        met = documents.select("doc_key", "text", word).join(F.broadcast(anchors), "_word")
-    else:
-        met = keyed_join(documents.select("doc_key", word), anchors, ["_word"], "doc_key", small=False)
-        met = met.join(documents.select("doc_key", "text"), "doc_key")
-    return met.filter(F.contains("text", "_passage")).select("query_id", "doc_key")
+    anchors = asked.filter(F.col("_word").isNotNull())
+    found = documents.select("doc_key", F.explode(F.array_distinct(tokens("text"))).alias("_word"))
+    candidates = keyed_join(found, anchors, ["_word"], "doc_key").select("doc_key", "query_id", "_passage")
+    short = asked.filter(F.col("_word").isNull())
+    for size in sorted(r["n"] for r in short.select(F.least(F.length("_passage"), F.lit(GRAM)).alias("n")).distinct().collect()):
+        grams = F.transform(F.sequence(F.lit(1), F.length("text") - size + 1), lambda i, n=size: F.substr("text", i, F.lit(n)))
+        held = documents.filter(F.length("text") >= size).select("doc_key", F.explode(F.array_distinct(grams)).alias("_word"))
+        begins = short.filter(F.least(F.length("_passage"), F.lit(GRAM)) == size).withColumn("_word", F.substr("_passage", F.lit(1), F.lit(size)))
+        met = keyed_join(held, begins, ["_word"], "doc_key").select("doc_key", "query_id", "_passage")
+        candidates = candidates.unionByName(met)
+    met = written(candidates, "candidates")
+    texts = keyed_join(met, documents.select("doc_key", "text"), ["doc_key"], "query_id") if not is_small(met) else (
+        documents.select("doc_key", "text").join(F.broadcast(met), "doc_key")
+    )
+    return texts.filter(F.contains("text", "_passage")).select("query_id", "doc_key")

@@ -65,7 +65,7 @@ def to_column(filter, columns: dict[str, str] | None = None) -> Column | None:
             for key, value in filter.items()
         ]
     else:
-        raise ValueError(f"unsupported filter type: {type(filter)}")
+        raise ValueError(f"cannot filter by a {type(filter).__name__}")
     return reduce(and_, parts) if parts else None
 
 

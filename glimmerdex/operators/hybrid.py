@@ -12,6 +12,7 @@ from glimmerdex.operators.lexical import LexicalIndex, lexical_leg
 from glimmerdex.operators.ranking import most_rows, rounded, top_k
 from glimmerdex.operators.shaping import attach_documents
 from glimmerdex.operators.vector import check_vectors, vector_pool
+from glimmerdex.plans.sizing import keyed_join
 
 JOIN_OF_MODE = {
     "union": "full_outer",
@@ -23,7 +24,7 @@ JOIN_OF_MODE = {
 
 def check_mode(mode: str) -> None:
     if mode not in D.MODES:
-        raise ValueError(f"mode must be one of {D.MODES}, got {mode!r}")
+        raise ValueError(f"unknown mode {mode!r}; there are {', '.join(D.MODES)}")
 
 
 def check_alpha(alpha: float) -> None:
@@ -64,7 +65,7 @@ def fuse(pools: DataFrame, lexical_weight: float, vector_weight: float) -> DataF
 def quality_boost(hits: DataFrame, quality: DataFrame, boost: float) -> DataFrame:
     """score x (1 + boost x quality); `quality` is (doc_key, quality), unknown counts 0."""
     factor = F.lit(1.0) + F.lit(float(boost)) * F.coalesce(F.col("quality").cast("double"), F.lit(0.0))
-    rows = hits.join(quality.select("doc_key", "quality"), "doc_key", "left")
+    rows = keyed_join(hits, quality.select("doc_key", "quality"), ["doc_key"], "query_id", "left")
     return rows.withColumn("score", F.col("score") * factor).drop("quality")
 
 
@@ -87,8 +88,9 @@ def freshness_boost(
 def hybrid_pools(
     index: LexicalIndex | DataFrame, queries: DataFrame, k: int, pool: int | None = None, where=None,
     weights: dict[str, float] | None = None, min_match=None, field: str = "embedding", vectors: DataFrame | None = None,
+    vector_topk: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Keyword and vector candidates under the same filter.
+    """Keyword and vector candidates under the same filter; `vector_topk` sizes the vector pool alone.
 
     `vectors` may name a table with doc_key and the vector when the vectors are
     kept apart from the documents.
@@ -102,7 +104,7 @@ def hybrid_pools(
     if vectors is not None and predicate is not None:
         vector_side = vectors.join(documents.filter(predicate).select("doc_key"), "doc_key", "left_semi")
         predicate = None
-    return lexical, vector_pool(vector_side, queries, size, field, predicate)
+    return lexical, vector_pool(vector_side, queries, vector_topk or size, field, predicate)
 
 
 def hybrid_search(
@@ -141,12 +143,13 @@ def tuned_search(
     documents = index.documents if isinstance(index, LexicalIndex) else index
     mode = knobs["search_mode"]
     check_mode(mode)
+    vector_topk = D.pool_size(rows, knobs["vector_topk"])
     lexical, vector = hybrid_pools(
-        index, queries, rows, knobs["vector_topk"], where, knobs["weights"], knobs["mm"], field, vectors
+        index, queries, rows, None, where, knobs["weights"], knobs["mm"], field, vectors, vector_topk
     )
     pools = joined_pools(lexical, vector, mode, knobs["lexical_norm_k"])
     hits = fuse(pools, knobs["lexical_weight"], knobs["vector_weight"])
-    at_most = most_rows(queries, 2 * D.pool_size(rows, knobs["vector_topk"]))
+    at_most = most_rows(queries, D.pool_size(rows) + vector_topk)
     if knobs["quality_boost"] and quality is not None:
         hits = quality_boost(hits, quality, knobs["quality_boost"])
     if knobs["freshness_boost"]:

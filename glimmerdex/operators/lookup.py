@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glimmerdex.operators.ranking import top_k
-from glimmerdex.plans.sizing import keyed_join
+from glimmerdex.plans.sizing import is_small, keyed_join, written
 
 
 def request_table(spark, ids: list[str]) -> DataFrame:
@@ -18,7 +18,8 @@ def get_by_ids(documents: DataFrame, requests: DataFrame) -> DataFrame:
 
     An id is a document key or an original id; the key match wins, then the first
     document with that original id. Missing ids give no row, repeated ids repeat.
-    The documents are read once.
+    Ids are resolved on the two id columns alone; whole documents are read for the keys
+    found.
     """
     wanted = requests.select("id").distinct()
     names = F.explode(
@@ -27,13 +28,16 @@ def get_by_ids(documents: DataFrame, requests: DataFrame) -> DataFrame:
             F.struct(F.col("ext_id").alias("id"), F.lit(1).alias("choice")),
         )
     )
-    named = documents.withColumn("_name", names).select(
-        *documents.columns, F.col("_name.id").alias("id"), F.col("_name.choice").alias("_choice")
+    named = documents.select("doc_key", names.alias("_name")).select(
+        "doc_key", F.col("_name.id").alias("id"), F.col("_name.choice").alias("_choice")
     )
     matches = keyed_join(named, wanted, ["id"], "doc_key")
     order = [F.col("_choice"), F.col("doc_key")]
-    found = top_k(matches, 1, by=("id",), order=order, rank="_rank").drop("_rank", "_choice")
-    return requests.join(found, "id").orderBy("pos")
+    found = top_k(matches, 1, by=("id",), order=order, rank="_rank").select("id", "doc_key")
+    resolved = written(keyed_join(requests, found, ["id"], "pos"), "resolved")
+    small = is_small(resolved)
+    whole = documents.join(F.broadcast(resolved), "doc_key") if small else keyed_join(resolved, documents, ["doc_key"], "pos", small=False)
+    return whole.select("id", "pos", *documents.columns).orderBy("pos")
 
 
 def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:

@@ -10,16 +10,22 @@ from glimmerdex.operators.ranking import top_k
 from glimmerdex.plans.sizing import broadcast_if_small, is_small, keyed_join
 
 
-def validate(batch: DataFrame, id_col: str = "id", text_col: str = "text", seq_col: str = "ingest_seq") -> DataFrame:
+def validate(
+    batch: DataFrame, id_col: str = "id", text_col: str = "text", seq_col: str = "ingest_seq",
+    vector_col: str | None = None, dims: int | None = None,
+) -> DataFrame:
     """The batch with a `reason` column, null for accepted rows.
 
-    Rejected are rows without id or text, and all but the latest row of an id
-    that occurs more than once. Repeated ids are found by a partial aggregate; the
+    Rejected are rows without id or text, vectors of another length than `dims`, and all
+    but the latest row of an id that occurs more than once. Repeated ids are found by a partial aggregate; the
     few that are come back by a broadcast, or by a join salted over the order, so
     an id holding much of the batch is never one task's group.
     """
+    usable = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
+    if vector_col and dims:
+        usable &= F.coalesce(F.size(vector_col) == dims, F.lit(True))
     repeated = (
-        batch.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+        batch.filter(usable)
         .groupBy(id_col)
         .agg(F.max(seq_col).alias("_last"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
@@ -29,6 +35,7 @@ def validate(batch: DataFrame, id_col: str = "id", text_col: str = "text", seq_c
     reason = (
         F.when(F.col(id_col).isNull(), F.lit("missing_id"))
         .when(F.col(text_col).isNull(), F.lit("missing_text"))
+        .when(F.size(vector_col) != dims if vector_col and dims else F.lit(False), F.lit("vector_length"))
         .when(F.col("_last").isNotNull() & (F.col(seq_col) < F.col("_last")), F.lit("replaced_in_batch"))
     )
     return joined.withColumn("reason", reason).select(*batch.columns, "reason")

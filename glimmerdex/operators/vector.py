@@ -33,7 +33,7 @@ def check_vectors(documents: DataFrame, field: str = "embedding") -> None:
     kind = documents.schema[field].dataType if field in documents.columns else None
     if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.FloatType, T.DoubleType))):
         raise ValueError(
-            f"the index has no vector field {field!r}; use lexical search, which works on any index"
+            f"{field!r} is not an array of numbers here, so only keyword search can be run"
         )
 
 
@@ -49,7 +49,7 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    rows = values.reshape(len(column), -1)
+    rows = values.reshape(len(column), -1) if len(column) else np.empty((0, 1))
     with np.errstate(invalid="ignore", divide="ignore"):
         return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
@@ -127,7 +127,10 @@ def _query_vectors(queries: DataFrame) -> DataFrame:
 
 
 def _same_dimension(rows: DataFrame, dimension: int) -> DataFrame:
-    return rows.filter(F.size("vector") == dimension)
+    """The rows as they are; a vector that cannot be compared with the queries is an error, not a missing result."""
+    message = F.concat(F.lit(f"queries have {dimension} dimensions, but a document has "), F.size("vector").cast("string"))
+    checked = F.when(F.size("vector") == dimension, F.col("vector")).otherwise(F.raise_error(message))
+    return rows.withColumn("vector", checked) if dimension else rows.filter(F.lit(False))
 
 
 def _extent(queries: DataFrame) -> tuple[int, int]:

@@ -66,7 +66,7 @@ def queries(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_queries(spark: SparkSession, sf: str) -> DataFrame:
     vecs = table(spark, sf, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
-    return queries(spark, sf).join(vecs, "query_id")
+    return queries(spark, sf).join(vecs, "query_id", "left")
 
 
 # -- the same in SQL ---------------------------------------------------------
@@ -143,14 +143,14 @@ SQL_JOIN = {"union": "FULL", "keywords_required": "LEFT", "meaning_required": "R
 
 def sql_pools(
     mode: str, pool: int, where: str = "true", weights: dict[str, float] | None = None, norm_k: float | None = None,
-    matched: str = "true", fields: dict[str, str] | None = None,
+    matched: str = "true", fields: dict[str, str] | None = None, vector_topk: int | None = None,
 ) -> str:
     """CTEs up to pools(query_id, doc_key, lex, sem)."""
     scaled = f"raw / (raw + CAST({norm_k} AS DOUBLE))" if norm_k else "raw / max(raw) OVER (PARTITION BY query_id)"
     return f"""{sql_lexical(weights or D.HYBRID_WEIGHTS, where=where, fields=fields)},
 {sql_top("lex_top", "lex", pool, where=matched)},
 {sql_vectors(where=where)},
-{sql_top("vec_top", "vec", pool)},
+{sql_top("vec_top", "vec", vector_topk or pool)},
 pools AS (
   SELECT coalesce(l.query_id, v.query_id) AS query_id, coalesce(l.doc_key, v.doc_key) AS doc_key,
          coalesce(l.lex, 0) AS lex, coalesce(v.raw, 0) AS sem

@@ -11,7 +11,7 @@ from glimmerdex.operators.documents import build_documents
 from glimmerdex.plans import inputs as I
 from glimmerdex.plans.inputs import query
 from glimmerdex.plans.sizing import scratch_path, spread
-from glimmerdex.sources.corpus import DROPPED_ELEMENTS, ENTITIES, corpus_scan as scan, page_source
+from glimmerdex.sources.corpus import DROPPED_ELEMENTS, corpus_scan as scan, page_source, unescape
 from glimmerdex.sources.index_store import IndexStore, describe_indexes
 from glimmerdex.streaming import ingest
 
@@ -130,8 +130,12 @@ def _page_text_sql(html: str) -> str:
     return _unescape_sql(f"regexp_replace({text}, '<[^>]*>', ' ', 'g')")
 
 
+# The references that the given pages hold; &amp; comes last.
+_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&mdash;": "—", "&eacute;": "é", "&amp;": "&"}
+
+
 def _unescape_sql(text: str) -> str:
-    for reference, character in ENTITIES.items():
+    for reference, character in _REFERENCES.items():
         text = "replace({}, '{}', '{}')".format(text, reference, character.replace("'", "''"))
     return rf"trim(regexp_replace({text}, '[\s ]+', ' ', 'g'))"
 
@@ -149,6 +153,20 @@ def page_ingest(spark, sf):
     return docs.select("doc_key", "uri", "title", "description", "text")
 
 
+@query("character_references", """
+SELECT page_id, chr(CAST(8200 + page_id % 20000 AS INT)) || '|' || chr(CAST(161 + page_id % 90 AS INT)) || '|' || chr(CAST(128512 + page_id % 50 AS INT))
+  || '|é à ’ € & < &nosuch; &lt; � & &#; 100' AS text FROM pages""")
+def character_references(spark, sf):
+    """References by decimal and hexadecimal number and by name, unknown and broken ones, and an escaped reference."""
+    number = lambda start, size: (F.lit(start) + F.col("page_id") % size)
+    text = F.concat(
+        F.lit("&#"), number(8200, 20000).cast("string"), F.lit(";|&#x"), F.hex(number(161, 90)),
+        F.lit(";|&#X"), F.lower(F.hex(number(128512, 50))),
+        F.lit(";|&eacute; &agrave; &rsquo; &euro; &amp; &lt; &nosuch; &amp;lt; &#xD800; & &#; 100"),
+    )
+    return I.table(spark, sf, "pages").select("page_id", unescape(text).alias("text"))
+
+
 # -- enrichment and embedding --------------------------------------------------------
 
 

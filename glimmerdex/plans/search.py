@@ -221,6 +221,20 @@ def hybrid_filtered(spark, sf):
     return _hybrid(spark, sf, "union", 5, where=where)
 
 
+@query("hybrid_without_vectors", f"""WITH {I.IDX}, {I.ASKED}, {I.sql_lexical(D.HYBRID_WEIGHTS)},
+{I.sql_top("lex_top", "lex", 10)},
+{I.sql_vectors(where="item_id % 2 = 0")},
+{I.sql_top("vec_top", "vec", 10)},
+pools AS (SELECT coalesce(l.query_id, v.query_id) AS query_id, coalesce(l.doc_key, v.doc_key) AS doc_key, coalesce(l.lex, 0) AS lex, coalesce(v.raw, 0) AS sem
+  FROM (SELECT query_id, doc_key, raw / max(raw) OVER (PARTITION BY query_id) AS lex FROM lex_top) l
+  FULL JOIN vec_top v ON l.query_id = v.query_id AND l.doc_key = v.doc_key),
+{I.sql_top("hyb", "pools", 5, "round(CAST(0.5 AS DOUBLE) * lex + CAST(0.5 AS DOUBLE) * sem, 6)")} SELECT query_id, rank, doc_key, score FROM hyb""")
+def hybrid_without_vectors(spark, sf):
+    """Every other query has no vector; those are answered by keywords alone."""
+    asked = I.vector_queries(spark, sf).withColumn("query_vec", F.when(F.col("query_id") % 2 == 0, F.col("query_vec")))
+    return _hits(hybrid.hybrid_search(I.searchable(spark, sf), asked, 5, vectors=I.vectors(spark, sf)))
+
+
 ALPHAS = [0.0, 0.25, 0.5, 0.75, 1.0]
 SWEEP_SQL = f"""{I.IDX}, {I.ASKED}, {I.sql_pools("union", 10)},
 swept AS (SELECT alpha, query_id, doc_key, round(alpha * lex + (1 - alpha) * sem, 6) AS mixed
@@ -305,7 +319,7 @@ _KNOBS = {
 
 
 @query("tuned_search", f"""WITH {I.IDX}, {I.ASKED},
-{I.sql_pools("keywords_required", 40, weights={"title": 0.2, "description": 0.5, "text": 1.0}, norm_k=8.0)},
+{I.sql_pools("keywords_required", 10, vector_topk=40, weights={"title": 0.2, "description": 0.5, "text": 1.0}, norm_k=8.0)},
 boosted AS (SELECT query_id, doc_key,
     (CAST(0.7 AS DOUBLE) * lex + CAST(0.6 AS DOUBLE) * sem) / CAST({0.7 + 0.6} AS DOUBLE) * (1 + CAST(0.3 AS DOUBLE) * coalesce(quality, 0))
     * (1 + CAST(0.2 AS DOUBLE) * exp(-greatest(date_diff('day', CAST({DATED} AS DATE), DATE '{AS_OF}'), 0) / 30.0)) AS raw

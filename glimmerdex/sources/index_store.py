@@ -1,13 +1,15 @@
 """Where an index is kept: parquet segments listed by a manifest.
 
-    <root>/<index>/manifest/<segment>    one row: index, position, kind, path
-    <root>/<index>/segments/<segment>    the rows
-    <root>/<index>/jobs/<job>            one row per ingest job
-
-A base segment replaces everything before it; upserts and removals are small
-segments after it. Nothing that is being read is ever overwritten, and a segment
-becomes visible when its manifest row is written, so a reader sees whole segments
-only. One writer per index.
+    <root>/<index>/manifest/<segment>/<writing>    one row: index, position, kind, path, …
+    <root>/<index>/segments/<segment>/<writing>    the rows
+    <root>/<index>/jobs/<job>                      one row per ingest job
+
+A base segment replaces the segments it names; upserts and removals are small segments
+beside it. Every writing has a folder of its own, so nothing that is being read is ever
+overwritten: a segment becomes visible when its manifest row is written, and of several
+writings of one segment, as a replayed batch makes them, the latest counts. A base names
+the writings it was made from. What another writer adds meanwhile is not among them and
+stays.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.lexical import LexicalIndex
 from glimmerdex.plans.sizing import broadcast_if_small, keyed_join
 
-MANIFEST_SCHEMA = "index string, segment string, position long, kind string, path string"
+MANIFEST_SCHEMA = (
+    "index string, segment string, position long, kind string, path string, writing long, folds array<string>"
+)
 ROWS_PER_FILE = 100_000
 REMOVAL_SCHEMA = "doc_key string, ingest_seq long"
 
@@ -39,10 +43,11 @@ class IndexStore:
     # -- manifest ---------------------------------------------------------
 
     def manifest(self) -> list:
-        """Visible segments in order; their number is kept small by `compact`."""
+        """Visible segments in order, the latest writing of each; their number is kept small by `compact`."""
         try:
-            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.folder}/manifest/*")
-            return sorted(rows.collect(), key=lambda r: r["position"])
+            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.folder}/manifest/*/*").collect()
+            latest = {r["segment"]: r for r in sorted(rows, key=lambda r: r["writing"])}
+            return sorted(latest.values(), key=lambda r: r["position"])
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -51,12 +56,15 @@ class IndexStore:
     def exists(self) -> bool:
         return bool(self.manifest())
 
-    def _announce(self, segment: str, position: int, kind: str, path: str) -> None:
-        row = [(self.index, segment, position, kind, path)]
+    def _announce(self, segment: str, position: int, kind: str, path: str, writing: int, folds: list[str]) -> None:
+        row = [(self.index, segment, position, kind, path, writing, folds)]
         entry = self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1)
-        entry.write.mode("overwrite").json(f"{self.folder}/manifest/{segment}")
+        entry.write.json(f"{self.folder}/manifest/{segment}/{path.rsplit('/', 1)[1]}")
 
-    def _write(self, rows: DataFrame, kind: str, segment: str | None, visible: bool, at_most: int | None = None) -> dict:
+    def _write(
+        self, rows: DataFrame, kind: str, segment: str | None, visible: bool, at_most: int | None = None,
+        folds: list | None = None,
+    ) -> dict:
         """Write a segment. A named segment may be written again, as a replayed batch does.
 
         A known greatest number of rows keeps small segments in few files.
@@ -65,11 +73,15 @@ class IndexStore:
             rows = rows.coalesce(1 + at_most // ROWS_PER_FILE)
         known = self.manifest()
         segment = segment or f"{kind}-{uuid.uuid4().hex}"
-        again = next((r["position"] for r in known if r["segment"] == segment), None)
-        position = again if again is not None else max([r["position"] for r in known], default=-1) + 1
-        path = f"{self.folder}/segments/{segment}"
-        rows.withColumn("ingest_seq", F.lit(position).cast("long")).write.mode("overwrite").parquet(path)
-        pending = {"segment": segment, "position": position, "kind": kind, "path": path}
+        again = next((r for r in known if r["segment"] == segment), None)
+        position = again["position"] if again else max([r["position"] for r in known], default=-1) + 1
+        path = f"{self.folder}/segments/{segment}/{uuid.uuid4().hex}"
+        rows.withColumn("ingest_seq", F.lit(position).cast("long")).write.parquet(path)
+        replaced = [r["path"] for r in (known if folds is None else folds)] if kind == "base" else []
+        pending = {
+            "segment": segment, "position": position, "kind": kind, "path": path,
+            "writing": again["writing"] + 1 if again else 0, "folds": replaced,
+        }
         if visible:
             self._announce(**pending)
         return pending
@@ -124,8 +136,9 @@ class IndexStore:
         self.remove(gone)
 
     def compact(self) -> None:
-        """Fold all segments into a new base."""
-        self.replace(self.read())
+        """Fold all segments into a new base; what is added meanwhile is kept beside it."""
+        entries = self.manifest()
+        self._write(self._conform(self._content(entries)), "base", None, True, folds=entries)
 
     def read(self) -> DataFrame:
         """The current documents, one row per key.
@@ -136,9 +149,15 @@ class IndexStore:
         entries = self.manifest()
         if not entries:
             raise ValueError(f"index {self.index!r} does not exist")
-        start = max((i for i, r in enumerate(entries) if r["kind"] == "base"), default=None)
-        later = entries if start is None else entries[start + 1 :]
-        base = empty_index(self.spark) if start is None else self._documents([entries[start]["path"]])
+        return self._content(entries)
+
+    def _content(self, entries: list) -> DataFrame:
+        folded = {path for r in entries for path in r["folds"] or []}
+        live = [r for r in entries if r["path"] not in folded]
+        bases = [r for r in live if r["kind"] == "base"]
+        # Of bases made at the same time the last one counts, with what neither of them folds.
+        later = [r for r in live if r["kind"] != "base"]
+        base = empty_index(self.spark) if not bases else self._documents([bases[-1]["path"]])
         if not later:
             return base
         changed = self._documents([r["path"] for r in later if r["kind"] == "upsert"]).withColumn("_gone", F.lit(False))
@@ -185,7 +204,7 @@ class IndexStore:
 
 def list_indexes(spark: SparkSession, root: str) -> list[str]:
     try:
-        rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{root.rstrip('/')}/*/manifest/*")
+        rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{root.rstrip('/')}/*/manifest/*/*")
         return sorted(r["index"] for r in rows.select("index").distinct().collect())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -194,19 +213,13 @@ def list_indexes(spark: SparkSession, root: str) -> list[str]:
 
 
 def describe_indexes(spark: SparkSession, root: str) -> DataFrame:
-    """(index, n_docs, n_vectors) for every index under the root."""
-    parts = [
-        IndexStore(spark, root, name).read().select(F.lit(name).alias("index"), F.col("embedding").isNotNull().alias("_v"))
-        for name in list_indexes(spark, root)
-    ]
-    if not parts:
-        return spark.createDataFrame([], "index string, n_docs long, n_vectors long")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows.groupBy("index").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.count(F.when(F.col("_v"), 1)).alias("n_vectors")
-    )
+    """(index, n_docs, n_vectors) for every index under the root, empty ones with zeros."""
+    names = list_indexes(spark, root)
+    rows = spark.createDataFrame([(name, None) for name in names], "index string, _v boolean")
+    for name in names:
+        stored = IndexStore(spark, root, name).read()
+        rows = rows.unionByName(stored.select(F.lit(name).alias("index"), F.col("embedding").isNotNull().alias("_v")))
+    return rows.groupBy("index").agg(F.count("_v").alias("n_docs"), F.count(F.when(F.col("_v"), 1)).alias("n_vectors"))
 
 
 def publish_lexical(

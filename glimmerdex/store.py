@@ -18,6 +18,7 @@ from glimmerdex.operators.documents import build_documents
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.ranking import most_rows, retriever, without_score
 from glimmerdex.operators.upsert import validate
+from glimmerdex.plans.sizing import written
 from glimmerdex.sources.corpus import corpus_from_texts
 from glimmerdex.sources.index_store import IndexStore
 
@@ -37,7 +38,7 @@ class SearchIndex:
         base_uri: str = D.DEFAULT_BASE_URI, columns: dict[str, str] | None = None, saved_tuning: dict | None = None,
     ):
         if not index:
-            raise ValueError("index is required")
+            raise ValueError("an index needs a name")
         self.spark = spark
         self.store = IndexStore(spark, root, index).require(create_if_missing)
         self.index = index
@@ -77,16 +78,32 @@ class SearchIndex:
         self, source: DataFrame, id_col: str = "id", text_col: str = "text", metadata_cols: list[str] | None = None,
         metadata_json: str | None = None, embedding_col: str | None = None, order_col: str | None = None,
     ) -> DataFrame:
-        """Add a table of any size; returns the rejected rows with their reason."""
-        order = F.col(order_col) if order_col else F.lit(0)
-        checked = validate(source.withColumn("_order", order), id_col, text_col, "_order")
+        """Add a table of any size; returns the rejected rows with their reason.
+
+        Of rows with one id the last by `order_col` is taken, and among equals, or without
+        such a column, the last as the table is read. Vectors must have the length of those
+        already stored, or else of most vectors of the table.
+        """
+        row = F.struct((F.col(order_col) if order_col else F.lit(0)).alias("order"), F.monotonically_increasing_id().alias("row"))
+        # Numbers of rows are drawn once, so that accepted and rejected rows agree.
+        numbered = written(source.withColumn("_order", row), "numbered")
+        dims = self._vector_length(numbered, embedding_col) if embedding_col else None
+        checked = written(validate(numbered, id_col, text_col, "_order", embedding_col, dims), "checked")
         documents = build_documents(
             checked.filter(F.col("reason").isNull()), self.index, id_col, text_col, metadata_cols, metadata_json,
-            embedding_col, F.col("_order"), base_uri=self.base_uri,
+            embedding_col, F.col("_order.order" if order_col else "_order.row"), base_uri=self.base_uri,
         )
         self.store.upsert(documents if embedding_col else self._embedded(documents))
         return checked.filter(F.col("reason").isNotNull()).drop("_order")
 
+    def _vector_length(self, source: DataFrame, embedding_col: str) -> int | None:
+        for rows, column in ((self.documents(), "embedding"), (source, embedding_col)):
+            sizes = rows.filter(F.col(column).isNotNull()).groupBy(F.size(column).alias("dims")).count()
+            most = sizes.orderBy(F.desc("count"), "dims").first()
+            if most is not None:
+                return most["dims"]
+        return None
+
     def _embedded(self, documents: DataFrame) -> DataFrame:
         documents = documents.drop("embedding")
         if self.model is None:
@@ -198,12 +215,11 @@ class SearchIndex:
     ) -> DataFrame:
         """One prompt row per query, with an answer when a model is given.
 
-        A query table with a `context` column brings its own context and is not searched.
+        Queries that bring their own text in a `context` column are not searched, those
+        without one are.
         """
         rows = self.queries(query)
-        if "context" in rows.columns:
-            contexts = self.spark.createDataFrame([], f"query_id {rows.schema['query_id'].dataType.simpleString()}, context string")
-        else:
-            contexts = self.rag_context(rows, filter, rag_docs, rag_words, tuning)
+        asked = rows.filter(F.col("context").isNull()).drop("context") if "context" in rows.columns else rows
+        contexts = self.rag_context(asked, filter, rag_docs, rag_words, tuning)
         prompts = rag.rag_prompt(rows, contexts, instruction)
         return prompts if answer_model is None else rag.answer(prompts, answer_model)

@@ -45,7 +45,7 @@ def ingest_batch(
         store.upsert(build(accepted, F.col("_order")), segment=job, at_most=counts["n"] - counts["bad"])
         store.record_job(job, "completed", counts["n"], counts["n"] - counts["bad"], counts["bad"])
     except Exception as error:
-        store.record_job(job, "failed", error=str(error)[:500])
+        store.record_job(job, "failed", error=str(error))
         raise
     finally:
         checked.unpersist()
@@ -73,7 +73,7 @@ def wait(query: StreamingQuery, timeout: int = D.INGEST_TIMEOUT_SECONDS) -> None
     """Block until the query is done; failure and timeout are errors."""
     if not query.awaitTermination(timeout):
         query.stop()
-        raise TimeoutError(f"ingest not completed within {timeout}s")
+        raise TimeoutError(f"still ingesting after {timeout} seconds")
 
 
 def job_counts(jobs: DataFrame) -> DataFrame:

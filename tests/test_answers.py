@@ -101,7 +101,7 @@ def test_known_items_and_evaluation(spark, shuffled_joins):
     )
     passages = spark.createDataFrame([(0, "the quick brown fox jumps"), (1, "quick fox the"), (2, "fox")], "query_id long, query_text string")
     truth = evaluate.known_items(docs, passages)
-    assert sorted((r["query_id"], r["doc_key"]) for r in truth.collect()) == [(0, "a"), (0, "b")]
+    assert sorted((r["query_id"], r["doc_key"]) for r in truth.collect()) == [(0, "a"), (0, "b"), (2, "a"), (2, "b"), (2, "c")]
     truth = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (2, "a"), (3, "a")], "query_id long, doc_key string")
     hits = spark.createDataFrame(
         [("m", 0, 2, "b"), ("m", 0, 4, "a"), ("m", 1, 1, "c"), ("m", 2, 11, "a"), ("n", 9, 1, "a")], "mode string, query_id long, rank int, doc_key string"

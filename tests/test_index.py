@@ -9,18 +9,18 @@ from glimmerdex.store import SearchIndex
 from glimmerdex.streaming import ingest
 
 TEXTS = [
-    "Our platform is an open search server for companies",
-    "A kitten naps through the afternoon on a warm sofa",
-    "Hybrid retrieval mixes keyword scores with vector scores",
-    "This recipe needs flour, butter and one egg",
+    "Tide tables list high and low water for every harbour",
+    "The old lighthouse keeper paints ships on cold evenings",
+    "A harbour pilot reads the tide and steers by the stars",
+    "Rope is spun from hemp, tar and patience",
 ]
 METAS = [
-    {"category": "search", "rank": 1}, {"category": "animals", "rank": 2},
-    {"category": "search", "rank": 3}, {"category": "cooking", "rank": 4},
+    {"section": "navigation", "shelf": 10}, {"section": "people", "shelf": 21},
+    {"section": "navigation", "shelf": 32}, {"section": "crafts", "shelf": 43},
 ]
-IDS = ["doc_1", "doc_2", "doc_3", "doc_4"]
+IDS = ["tides", "keeper", "pilot", "rope"]
 # One axis per topic; what a model would see in the words.
-TOPICS = ["search server keyword", "kitten naps sleepy pets", "hybrid retrieval vector scores", "recipe flour butter egg"]
+TOPICS = ["tables list water", "lighthouse keeper paints artist", "pilot stars steers tide", "rope hemp tar spun"]
 
 
 def topic_model():
@@ -38,52 +38,52 @@ def index(spark, tmp_path):
 def test_whole_life(spark, index):
     assert len(set(index.keys)) == 4 and all(len(k) == 32 for k in index.keys)
     # meaning
-    top = index.similarity_search("sleepy pets", k=1).collect()
-    assert len(top) == 1 and "kitten" in top[0]["page_content"] and top[0]["metadata"]["category"] == "animals"
-    scored = index.similarity_search_with_score("search server", k=2).orderBy("rank").collect()
+    top = index.similarity_search("lonely artist paints", k=1).collect()
+    assert len(top) == 1 and "keeper" in top[0]["page_content"] and top[0]["metadata"]["section"] == "people"
+    scored = index.similarity_search_with_score("water tables", k=2).orderBy("rank").collect()
     assert len(scored) == 2 and scored[0]["score"] > 0
     by_vector = index.similarity_search_by_vector([0.0, 0.0, 0.0, 1.0], k=1).collect()
-    assert "recipe" in by_vector[0]["page_content"] and "score" not in by_vector[0].asDict()
+    assert "hemp" in by_vector[0]["page_content"] and "score" not in by_vector[0].asDict()
     # hybrid, keywords
-    hybrid = index.similarity_search("keyword vector", k=2, hybrid=True, alpha=0.5).orderBy("rank").collect()
-    assert hybrid and hybrid[0]["metadata"]["category"] == "search"
-    words = index.similarity_search("egg flour recipe", k=2, lexical=True, hybrid=True, mode="ignored").orderBy("rank").collect()
-    assert "flour" in words[0]["page_content"]
+    hybrid = index.similarity_search("tide stars", k=2, hybrid=True, alpha=0.5).orderBy("rank").collect()
+    assert hybrid and hybrid[0]["metadata"]["section"] == "navigation"
+    words = index.similarity_search("tar hemp rope", k=2, lexical=True, hybrid=True, mode="ignored").orderBy("rank").collect()
+    assert "hemp" in words[0]["page_content"]
     with pytest.raises(ValueError, match="mode"):
         index.similarity_search("x", hybrid=True, mode="both")
     # filters
-    cooking = index.similarity_search("search recipe", k=5, filter={"category": "cooking"}).collect()
-    assert len(cooking) == 1 and "flour" in cooking[0]["page_content"]
-    ranked = index.similarity_search("search kitten vector egg", k=5, filter="try_cast(meta['rank'] as double) >= 2").collect()
-    assert sorted(r["metadata"]["rank"] for r in ranked) == ["2", "3", "4"]
+    crafts = index.similarity_search("water rope", k=5, filter={"section": "crafts"}).collect()
+    assert len(crafts) == 1 and "hemp" in crafts[0]["page_content"]
+    ranked = index.similarity_search("water keeper pilot rope", k=5, filter="try_cast(meta['shelf'] as double) >= 21").collect()
+    assert sorted(r["metadata"]["shelf"] for r in ranked) == ["21", "32", "43"]
     # by ids
-    assert [r["metadata"]["category"] for r in index.get_by_ids([IDS[1], IDS[3]]).collect()] == ["animals", "cooking"]
+    assert [r["metadata"]["section"] for r in index.get_by_ids([IDS[1], IDS[3]]).collect()] == ["people", "crafts"]
     assert index.get_by_ids(index.keys[:2]).count() == 2
     assert index.get_by_ids([]).count() == 0
     # a table of queries is one job
-    many = index.similarity_search(["kitten", "egg"], k=1).orderBy("query_id").collect()
-    assert ["kitten" in many[0]["page_content"], "egg" in many[1]["page_content"]] == [True, True]
+    many = index.similarity_search(["keeper", "hemp"], k=1).orderBy("query_id").collect()
+    assert ["keeper" in many[0]["page_content"], "hemp" in many[1]["page_content"]] == [True, True]
     retrieve = index.as_retriever(k=1, hybrid=True)
-    assert "kitten" in retrieve("kitten naps").first()["page_content"]
+    assert "keeper" in retrieve("keeper paints").first()["page_content"]
     # fields, tuning, answers
-    fields = index.hybrid_search("kitten", rows=1, fields="title,score")
+    fields = index.hybrid_search("keeper", rows=1, fields="title,score")
     assert fields.columns == ["query_id", "rank", "title", "score"]
-    tuned = index.embed_and_search("kitten naps", rows=1, search_mode="keywords_required", mm="strict", vector_topk=500)
-    assert "kitten" in tuned.first()["page_content"]
-    prompt = index.ai_answer("which recipe needs butter", rag_docs=1, rag_words=3).first()
-    assert prompt["context"].endswith(" - This recipe needs - ") and "which recipe needs butter" in prompt["instruction"]
-    reply = index.ai_answer("kitten", filter={"category": "animals"}, answer_model=lambda rows: [" yes " for _ in rows]).first()
-    assert reply["answer"] == "yes" and "kitten" in reply["context"]
+    tuned = index.embed_and_search("keeper paints", rows=1, search_mode="keywords_required", mm="strict", vector_topk=500)
+    assert "keeper" in tuned.first()["page_content"]
+    prompt = index.ai_answer("what is rope spun from", rag_docs=1, rag_words=3).first()
+    assert prompt["context"].endswith(" - Rope is spun - ") and "what is rope spun from" in prompt["instruction"]
+    reply = index.ai_answer("keeper", filter={"section": "people"}, answer_model=lambda rows: [" yes " for _ in rows]).first()
+    assert reply["answer"] == "yes" and "keeper" in reply["context"]
     own = spark.createDataFrame([(0, "q", "mine")], "query_id long, query_text string, context string")
     assert index.ai_answer(own).first()["context"] == "mine"
     # same id again replaces
-    index.add_texts(["A kitten plays"], [{"category": "animals"}], [IDS[1]])
+    index.add_texts(["The keeper sleeps"], [{"section": "people"}], [IDS[1]])
     assert index.documents().count() == 4
-    assert index.get_by_ids([IDS[1]]).first()["page_content"] == "A kitten plays"
+    assert index.get_by_ids([IDS[1]]).first()["page_content"] == "The keeper sleeps"
     # deletes
     index.delete([IDS[3], index.keys[0]])
     assert index.get_by_ids([IDS[3], IDS[0]]).count() == 0
-    index.delete(query="meta['category'] = 'animals'")
+    index.delete(query="meta['section'] = 'people'")
     assert index.get_by_ids([IDS[1]]).count() == 0
     with pytest.raises(ValueError):
         index.delete()
@@ -139,7 +139,7 @@ def test_store_segments(spark, tmp_path):
     IndexStore(spark, str(tmp_path), "other").create()
     assert list_indexes(spark, str(tmp_path)) == ["idx", "other"]
     counts = {r["index"]: (r["n_docs"], r["n_vectors"]) for r in describe_indexes(spark, str(tmp_path)).collect()}
-    assert counts == {"idx": (3, 0)}
+    assert counts == {"idx": (3, 0), "other": (0, 0)}
     assert list_indexes(spark, str(tmp_path / "none")) == []
 
 
@@ -198,3 +198,51 @@ def test_commit_choices():
     assert ingest.trigger_of("within") == {"processingTime": "10 seconds"}
     with pytest.raises(ValueError):
         ingest.trigger_of("later")
+
+
+def test_reader_spans_a_replay(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path), "idx").create()
+    store.upsert(plain(spark, [("a", "1"), ("b", "1")]), segment="batch-1")
+    before = store.read()
+    store.upsert(plain(spark, [("a", "2")]), segment="batch-1")
+    assert {r["ext_id"]: r["text"] for r in before.collect()} == {"a": "1", "b": "1"}
+    assert texts(store) == {"a": "2"}
+
+
+def test_compaction_keeps_what_is_added_meanwhile(spark, tmp_path, monkeypatch):
+    store = IndexStore(spark, str(tmp_path), "idx").create()
+    store.upsert(plain(spark, [("a", "1"), ("b", "1")]))
+    content = IndexStore._content
+
+    def slow(self, entries):
+        rows = content(self, entries)
+        if monkeypatch is not None and len(entries) == 2:
+            IndexStore(spark, str(tmp_path), "idx").upsert(plain(spark, [("b", "2"), ("c", "2")]))
+        return rows
+
+    monkeypatch.setattr(IndexStore, "_content", slow)
+    store.compact()
+    monkeypatch.setattr(IndexStore, "_content", content)
+    assert texts(store) == {"a": "1", "b": "2", "c": "2"}
+    store.compact()
+    assert texts(store) == {"a": "1", "b": "2", "c": "2"}
+
+
+def test_rejected_rows_are_reported(spark, tmp_path):
+    index = SearchIndex(spark, str(tmp_path), "idx", create_if_missing=True)
+    rows = [("1", "first", [1.0, 0.0]), ("1", "second", [0.0, 1.0]), ("1", "third", [1.0, 1.0]), ("2", "short", [1.0]), ("3", "none", None)]
+    source = spark.createDataFrame(rows, "id string, text string, v array<double>").coalesce(1)
+    rejected = index.add_table(source, "id", "text", embedding_col="v")
+    assert sorted((r["id"], r["text"], r["reason"]) for r in rejected.collect()) == [
+        ("1", "first", "replaced_in_batch"), ("1", "second", "replaced_in_batch"), ("2", "short", "vector_length"),
+    ]
+    assert {r["ext_id"]: r["text"] for r in index.documents().collect()} == {"1": "third", "3": "none"}
+    with pytest.raises(Exception, match="dimensions"):
+        index.similarity_search_by_vector([1.0, 2.0, 3.0]).collect()
+
+
+def test_context_is_decided_per_query(spark, tmp_path):
+    index = SearchIndex.from_texts(spark, str(tmp_path), ["rivers flow to the sea", "bread needs flour"], index="idx", ids=["r", "b"])
+    asked = spark.createDataFrame([(0, "what does bread need", None), (1, "q", "mine")], "query_id long, query_text string, context string")
+    got = {r["query_id"]: (r["context"], r["instruction"]) for r in index.ai_answer(asked).collect()}
+    assert "flour" in got[0][0] and got[0][1] and got[1] == ("mine", None)
