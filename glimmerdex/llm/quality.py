@@ -157,8 +157,7 @@ def isotonic(raw: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray
             blocks[-1][1] += n1
             blocks[-1][3] = high
     steps = [s for _, _, low, high in blocks for s in (low, high)]
-    values = [(y + 0.5) / (n + 1.0) if n < 20 else y / n for y, n, _, _ in blocks for _ in range(2)]
-    return np.array(steps), np.clip(np.maximum.accumulate(values), 0.0, 1.0)
+    return np.array(steps), np.array([y / n for y, n, _, _ in blocks for _ in range(2)])
 
 
 def remainder(id_col: str = "doc_id"):
