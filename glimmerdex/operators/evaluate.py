@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glimmerdex.functions.text import tokens
@@ -34,13 +34,40 @@ def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10
     )
 
 
+def _folded(word: Column) -> Column:
+    return F.translate(word, "ς", "σ")  # the one letter whose lower case depends on what follows
+
+
+def _beginnings(short: DataFrame) -> list[tuple[int, DataFrame]]:
+    """Passages without inner words with what to look up: the begin of their longest word, by its length up to
+    GRAM, or with 0 the first character of one that has no words."""
+    longest = F.array_max(F.transform(tokens("_passage"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    size = F.least(F.coalesce(F.length(longest), F.lit(0)), F.lit(GRAM))
+    key = F.when(longest.isNull(), F.substr("_passage", F.lit(1), F.lit(1))).otherwise(F.substr(_folded(longest), F.lit(1), F.lit(GRAM)))
+    keyed = short.drop("_word").withColumn("_word", key).withColumn("_size", size)
+    sizes = [r["_size"] for r in keyed.select("_size").distinct().collect()]  # at most GRAM + 1
+    return [(n, keyed.filter(F.col("_size") == n).drop("_size")) for n in sorted(sizes)]
+
+
+def _grams(documents: DataFrame, size: int) -> DataFrame:
+    """(doc_key, _word): the distinct character n-grams of a document's words, or with size 0 its characters."""
+    if size == 0:
+        return documents.select("doc_key", F.explode(F.array_distinct(F.split("text", ""))).alias("_word"))
+    words = F.filter(F.array_distinct(tokens("text")), lambda w: F.length(w) >= size)
+
+    def of_word(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(w) - size + 1), lambda i: F.substr(_folded(w), i, F.lit(size)))
+
+    return documents.select("doc_key", F.explode(F.array_distinct(F.flatten(F.transform(words, of_word)))).alias("_word"))
+
+
 def known_items(documents: DataFrame, passages: DataFrame) -> DataFrame:
     """(query_id, doc_key) where a passage occurs word for word in a document.
 
     The inner words of a passage (all but the first and last, which may be cut) must be
     words of the document, so its longest inner word is an equi-join key. A passage
-    without inner words is met by its first characters instead, one of the document's
-    character n-grams. Only keys travel to that join; texts are attached to the
+    without inner words is met by the begin of its longest word instead, an n-gram of the
+    document's words. Only keys travel to that join; texts are attached to the
     candidates, which are then checked on the whole text. An empty passage is no item.
     """
     words = tokens("query_text")
@@ -52,11 +79,8 @@ def known_items(documents: DataFrame, passages: DataFrame) -> DataFrame:
     found = documents.select("doc_key", F.explode(F.array_distinct(tokens("text"))).alias("_word"))
     candidates = keyed_join(found, anchors, ["_word"], "doc_key").select("doc_key", "query_id", "_passage")
     short = asked.filter(F.col("_word").isNull())
-    for size in sorted(r["n"] for r in short.select(F.least(F.length("_passage"), F.lit(GRAM)).alias("n")).distinct().collect()):
-        grams = F.transform(F.sequence(F.lit(1), F.length("text") - size + 1), lambda i, n=size: F.substr("text", i, F.lit(n)))
-        held = documents.filter(F.length("text") >= size).select("doc_key", F.explode(F.array_distinct(grams)).alias("_word"))
-        begins = short.filter(F.least(F.length("_passage"), F.lit(GRAM)) == size).withColumn("_word", F.substr("_passage", F.lit(1), F.lit(size)))
-        met = keyed_join(held, begins, ["_word"], "doc_key").select("doc_key", "query_id", "_passage")
+    for size, begins in _beginnings(short):
+        met = keyed_join(_grams(documents, size), begins, ["_word"], "doc_key").select("doc_key", "query_id", "_passage")
         candidates = candidates.unionByName(met)
     met = written(candidates, "candidates")
     texts = keyed_join(met, documents.select("doc_key", "text"), ["doc_key"], "query_id") if not is_small(met) else (

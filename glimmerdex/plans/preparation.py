@@ -131,7 +131,7 @@ def _page_text_sql(html: str) -> str:
 
 
 # The references that the given pages hold; &amp; comes last.
-_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&mdash;": "—", "&eacute;": "é", "&amp;": "&"}
+_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&copy;": "©", "&middot;": "·", "&mdash;": "—", "&eacute;": "é", "&amp;": "&"}
 
 
 def _unescape_sql(text: str) -> str:
