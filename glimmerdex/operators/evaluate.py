@@ -25,7 +25,7 @@ def retrieval_eval(hits: DataFrame, truth: DataFrame, by: list[str], k: int = 10
         .groupBy(*by)
         .agg(F.count("_best").alias("_hits"), F.coalesce(F.sum(1.0 / F.col("_best")), F.lit(0.0)).alias("_sum"))
     )
-    rows = best.crossJoin(F.broadcast(known.agg(F.count_distinct("query_id").alias("n_queries"))))  # one row
+    rows = best.withColumn("n_queries", known.agg(F.count_distinct("query_id")).scalar())
     return rows.select(
         *by,
         "n_queries",

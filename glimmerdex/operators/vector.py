@@ -25,6 +25,8 @@ MAX_QUERY_BYTES = 256 * 1024 * 1024
 CELL_DOCS = 20_000
 CELL_QUERIES = 5_000
 CELLS_PER_STEP = 4_000_000
+QUERIES_AT_ONCE = 500
+MAX_KEPT = 5_000_000  # result rows a task may hold: queries x pool
 HALF_STEP = 0.5 * 10**-D.SCORE_DIGITS
 
 
@@ -55,56 +57,67 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 class Best:
-    """The best `pool` documents per query seen so far, in the total result order."""
+    """The best `pool` documents per query seen so far, in the total result order.
+
+    Queries stay in fixed blocks, and a batch of documents is merged into the rows of one
+    block at a time, so the work grows with the queries and not with their square.
+    """
 
     def __init__(self, queries: np.ndarray, pool: int):
         self.queries = queries
         self.pool = pool
         self.floor = np.full(len(queries), -np.inf)
-        self.rows = np.empty(0, np.int64)
-        self.scores = np.empty(0)
-        self.raw = np.empty(0)
-        self.keys = np.empty(0, dtype=object)
+        none = (np.empty(0, np.int64), np.empty(0), np.empty(0), np.empty(0, dtype="S1"))
+        self.blocks = [none for _ in range(0, len(queries), QUERIES_AT_ONCE)]
 
     def add(self, vectors: np.ndarray, keys: pa.Array) -> None:
         if not len(vectors):
             return
-        step = max(1, CELLS_PER_STEP // len(vectors))
-        for start in range(0, len(self.queries), step):
-            block = slice(start, start + step)
-            scores = (1.0 + self.queries[block] @ vectors.T) / 2.0
-            scores[np.isnan(scores)] = -np.inf
-            # A score up to one rounding step below the floor may tie with it once rounded.
-            good = (scores >= (self.floor[block] - 2 * HALF_STEP)[:, None]) & np.isfinite(scores)
-            if scores.shape[1] > self.pool and good.sum() > 4 * self.pool * len(scores):
-                kth = np.partition(scores, -self.pool, axis=1)[:, -self.pool]
-                good &= scores >= (kth - 2 * HALF_STEP)[:, None]
-            row, column = np.nonzero(good)
-            if len(row):
-                self._merge(row + start, scores[row, column], keys.take(pa.array(column)))
-
-    def _merge(self, rows: np.ndarray, raw: np.ndarray, keys: pa.Array) -> None:
-        names = np.array([k.encode() for k in keys.to_pylist()], dtype=object)
-        rows = np.concatenate([self.rows, rows])
-        raw = np.concatenate([self.raw, raw])
-        names = np.concatenate([self.keys, names])
+        names = np.array([k.encode() for k in keys.to_pylist()])
+        rows_at_once = max(1, CELLS_PER_STEP // QUERIES_AT_ONCE)
+        for first in range(0, len(vectors), rows_at_once):
+            part = slice(first, first + rows_at_once)
+            for number in range(len(self.blocks)):
+                self._add_to_block(number, vectors[part], names[part])
+
+    def _add_to_block(self, number: int, vectors: np.ndarray, names: np.ndarray) -> None:
+        start = number * QUERIES_AT_ONCE
+        block = slice(start, start + QUERIES_AT_ONCE)
+        scores = (1.0 + self.queries[block] @ vectors.T) / 2.0
+        scores[np.isnan(scores)] = -np.inf
+        # A score up to one rounding step below the floor may tie with it once rounded.
+        good = (scores >= (self.floor[block] - 2 * HALF_STEP)[:, None]) & np.isfinite(scores)
+        if scores.shape[1] > self.pool and good.sum() > 4 * self.pool * len(scores):
+            kth = np.partition(scores, -self.pool, axis=1)[:, -self.pool]
+            good &= scores >= (kth - 2 * HALF_STEP)[:, None]
+        row, column = np.nonzero(good)
+        if len(row):
+            self._merge(number, row + start, scores[row, column], names[column])
+
+    def _merge(self, number: int, rows: np.ndarray, raw: np.ndarray, names: np.ndarray) -> None:
+        seen_rows, _, seen_raw, seen_names = self.blocks[number]
+        rows = np.concatenate([seen_rows, rows])
+        raw = np.concatenate([seen_raw, raw])
+        names = np.concatenate([seen_names, names])
         scores = np.round(raw, D.SCORE_DIGITS)
-        order = np.lexsort((names.astype("S"), -scores, rows))
+        order = np.lexsort((names, -scores, rows))
         rows, scores, raw, names = rows[order], scores[order], raw[order], names[order]
-        first = np.searchsorted(rows, rows, side="left")
-        place = np.arange(len(rows)) - first
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
         kept = place < self.pool
         full = place == self.pool - 1
         self.floor[rows[full]] = scores[full]
-        self.rows, self.scores, self.raw, self.keys = rows[kept], scores[kept], raw[kept], names[kept]
+        self.blocks[number] = (rows[kept], scores[kept], raw[kept], names[kept])
 
     def table(self, query_ids: pa.Array) -> pa.Table:
+        rows, scores, raw, names = (
+            (np.concatenate(parts) for parts in zip(*self.blocks, strict=True)) if self.blocks else (np.empty(0, t) for t in (np.int64, float, float, "S1"))
+        )
         return pa.table(
             {
-                "query_id": query_ids.take(pa.array(self.rows, pa.int64())),
-                "doc_key": pa.array([k.decode() for k in self.keys], pa.string()),
-                "score": pa.array(self.scores, pa.float64()),
-                "raw": pa.array(self.raw, pa.float64()),
+                "query_id": query_ids.take(pa.array(rows, pa.int64())),
+                "doc_key": pa.array([k.decode() for k in names.tolist()], pa.string()),
+                "score": pa.array(scores, pa.float64()),
+                "raw": pa.array(raw, pa.float64()),
             }
         )
 
@@ -196,7 +209,8 @@ def vector_pool(
     asked = _query_vectors(queries)
     n_queries, dimension = _extent(asked)
     if by_cells is None:
-        by_cells = n_queries > MAX_QUERY_ROWS or n_queries * dimension * 8 > MAX_QUERY_BYTES
+        too_wide = n_queries * dimension * 8 > MAX_QUERY_BYTES or n_queries * pool > MAX_KEPT
+        by_cells = n_queries > MAX_QUERY_ROWS or too_wide
     docs = _same_dimension(docs, dimension)
     if by_cells:
         scored = _by_cells(docs, asked, pool, docs.count(), n_queries)

@@ -5,14 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from glimmerdex.operators import filters, lexical, vector
 from glimmerdex.plans import inputs as I
 from glimmerdex.plans import sizing
+from glimmerdex.plans.catalog import QUERIES
 from glimmerdex.sources.index_store import publish_lexical
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
 
 
 def plan_of(df) -> str:

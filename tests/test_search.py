@@ -330,3 +330,26 @@ def test_deep_top_k_is_whole(spark):
     assert "_salt" in top._jdf.queryExecution().toString()
     want = sorted(((-(i % 50), str(i)) for i in range(5000)))[:1200]
     assert [r["doc_key"] for r in top.orderBy("rank").collect()] == [k for _, k in want]
+
+
+def test_vector_work_grows_with_the_queries_not_their_square():
+    import time
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    vectors = rng.standard_normal((4000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    keys = pa.array([f"{i:032d}" for i in range(len(vectors))])
+
+    def seconds(n):
+        queries = rng.standard_normal((n, 32))
+        queries /= np.linalg.norm(queries, axis=1)[:, None]
+        best = vector.Best(queries, 10)
+        best.add(vectors[:2000], keys[:2000])
+        start = time.process_time()
+        best.add(vectors[2000:], keys[2000:])
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(16000) < 2.5 * 16 * max(seconds(1000), 0.02)
