@@ -135,6 +135,27 @@ def alpha_sweep(
     return top_k(swept, k, by=("alpha", "query_id"))
 
 
+def mode_sweep(
+    index: LexicalIndex | DataFrame, queries: DataFrame, modes: tuple[str, ...] = D.MODES, k: int = D.DEFAULT_K,
+    alpha: float = 0.5, where=None, pool: int | None = None, field: str = "embedding", vectors: DataFrame | None = None,
+) -> DataFrame:
+    """(mode, query_id, doc_key, score, rank): every matching mode over the same candidates, which are found once."""
+    check_alpha(alpha)
+    for mode in modes:
+        check_mode(mode)
+    lexical, vector = hybrid_pools(index, queries, k, pool, where, field=field, vectors=vectors)
+    left = normalised_lexical(lexical).select("query_id", "doc_key", "lex")
+    right = vector.select("query_id", "doc_key", F.col("raw").alias("sem"))
+    both = left.join(right, ["query_id", "doc_key"], "full_outer")
+    has = {"left": F.col("lex").isNotNull(), "right": F.col("sem").isNotNull()}
+    has |= {"full_outer": F.lit(True), "inner": has["left"] & has["right"]}
+    kept = F.array_compact(F.array(*[F.when(has[JOIN_OF_MODE[mode]], F.lit(mode)) for mode in modes]))
+    lex, sem = (F.coalesce(c, F.lit(0.0)) for c in ("lex", "sem"))
+    mixed = F.lit(float(alpha)) * lex + F.lit(1.0 - alpha) * sem
+    swept = both.select(F.explode(kept).alias("mode"), "query_id", "doc_key", rounded(mixed).alias("score"))
+    return top_k(swept, k, by=("mode", "query_id"))
+
+
 def tuned_search(
     index: LexicalIndex | DataFrame, queries: DataFrame, knobs: dict, rows: int = D.TUNED_DEFAULT_ROWS, where=None,
     quality: DataFrame | None = None, as_of: str | None = None, field: str = "embedding", vectors: DataFrame | None = None,

@@ -110,6 +110,19 @@ def known_items_short(spark, sf):
     return evaluate.known_items(I.documents(spark, sf), passages)
 
 
+@query("retrieval_modes", f"""WITH {search.MODES_SQL},
+truth AS (SELECT query_id, doc_key FROM q JOIN idx ON instr(idx.text, q.query_text) > 0),
+best AS (SELECT mode, query_id, min(rank) AS best FROM top JOIN truth USING (query_id, doc_key) GROUP BY ALL),
+n AS (SELECT count(DISTINCT query_id) AS n_queries FROM truth)
+SELECT mode, n_queries, round(coalesce(hits, 0) / n_queries, 6) AS hit_at_k, round(coalesce(total, 0) / n_queries, 6) AS mrr
+FROM (SELECT DISTINCT mode FROM top) CROSS JOIN n
+LEFT JOIN (SELECT mode, count(*) AS hits, sum(1.0::DOUBLE / best) AS total FROM best GROUP BY mode) USING (mode)""")
+def retrieval_modes(spark, sf):
+    """Hit rate and mean reciprocal rank of known passages for every matching mode."""
+    truth = evaluate.known_items(I.documents(spark, sf), I.queries(spark, sf))
+    return evaluate.retrieval_eval(search.swept_modes(spark, sf), truth, ["mode"])
+
+
 @query("retrieval_eval", f"""WITH {search.SWEEP_SQL},
 truth AS (SELECT query_id, doc_key FROM q JOIN idx ON instr(idx.text, q.query_text) > 0),
 best AS (SELECT alpha, query_id, min(rank) AS best FROM top JOIN truth USING (query_id, doc_key) GROUP BY ALL),

@@ -234,6 +234,14 @@ def hash_embed(spark, sf):
     return _embedded(spark, sf)
 
 
+@query("hash_embed_shape", f"WITH {I.IDX} SELECT doc_key, 64 AS dims, 1.0::DOUBLE AS norm FROM idx WHERE len({I.sql_tokens('text')}) > 0")
+def hash_embed_shape(spark, sf):
+    """Every text with a token has a vector of the asked length and of norm one, others have none."""
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    vectors = embed.hash_embed(I.documents(spark, sf).select("doc_key", "text"))
+    return vectors.filter("embedding is not null").select("doc_key", F.size("embedding").alias("dims"), F.round(norm, 4).alias("norm"))
+
+
 @query("hash_embed_md5", f"""WITH {I.IDX}, tok AS (SELECT doc_key, unnest({I.sql_tokens('text')}) AS term FROM idx),
 h AS (SELECT doc_key, CAST('0x' || substr(md5(term), 1, 15) AS BIGINT) AS h FROM tok),
 s AS (SELECT doc_key, CAST(h % 64 AS INTEGER) AS slot, sum(CASE WHEN (h >> 32) % 2 = 0 THEN 1 ELSE -1 END) AS v FROM h GROUP BY ALL),

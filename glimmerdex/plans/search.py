@@ -253,6 +253,24 @@ def hybrid_alpha_sweep(spark, sf):
     return _hits(swept(spark, sf), "alpha")
 
 
+MODES_SQL = f"""{I.IDX}, {I.ASKED}, {I.sql_pools("union", 10)},
+sides AS (SELECT p.*, l.doc_key IS NOT NULL AS by_word, v.doc_key IS NOT NULL AS by_meaning
+  FROM pools p LEFT JOIN lex_top l USING (query_id, doc_key) LEFT JOIN vec_top v USING (query_id, doc_key)),
+swept AS (SELECT mode, query_id, doc_key, round(CAST(0.5 AS DOUBLE) * lex + CAST(0.5 AS DOUBLE) * sem, 6) AS mixed
+  FROM sides CROSS JOIN (VALUES ('union'), ('keywords_required'), ('meaning_required'), ('intersection')) t(mode)
+  WHERE (by_word OR mode NOT IN ('keywords_required', 'intersection')) AND (by_meaning OR mode NOT IN ('meaning_required', 'intersection'))),
+{I.sql_top("top", "swept", 10, "mixed", "mode, query_id")}"""
+
+
+def swept_modes(spark, sf):
+    return hybrid.mode_sweep(I.searchable(spark, sf), I.vector_queries(spark, sf), k=10, vectors=I.vectors(spark, sf))
+
+
+@query("hybrid_mode_sweep", f"WITH {MODES_SQL} SELECT mode, query_id, rank, doc_key, score FROM top")
+def hybrid_mode_sweep(spark, sf):
+    return _hits(swept_modes(spark, sf), "mode")
+
+
 @query("lexical_norm", f"""WITH {I.IDX}, {I.ASKED}, {I.sql_pools("union", 10, norm_k=50.0)},
 {I.sql_top("top", "pools", 10, "round(CAST(0.5 AS DOUBLE) * lex + CAST(0.5 AS DOUBLE) * sem, 6)")} SELECT query_id, rank, doc_key, score FROM top""")
 def lexical_norm(spark, sf):
