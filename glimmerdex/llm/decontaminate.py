@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ SUBSTITUTED = 2
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 8, 9))
 LEAST = 5
 BLOCK_BYTES = 16 << 20
-TEXTS_AT_ONCE = 256
+BYTES_AT_ONCE = 1 << 20
 BASE = np.uint64(0x100000001B3)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -174,6 +175,15 @@ class Seeds:
         return int(places[0]), int(places[-1]) + 1, int(inside.sum())
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of whole texts of about BYTES_AT_ONCE."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype=np.int64) // BYTES_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def overlaps(seeds: Seeds, filters: list[np.ndarray], texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, start, end, agreeing tokens), for every item its best overlap with a text."""
     tokens, bounds = token_hashes(texts)
@@ -215,8 +225,7 @@ def contaminated(
             filters = seeds.filters()
             names = ["doc_id", "item_id", "start", "end", "agreeing", "item_tokens"]
             for batch in batches:
-                for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                    part = batch.slice(at, TEXTS_AT_ONCE)
+                for part in parts_of(batch):
                     out = list(overlaps(seeds, filters, part.column(1).to_pylist()))
                     if out:
                         text, item, start, end, agree = zip(*out, strict=True)

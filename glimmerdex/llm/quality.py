@@ -108,7 +108,7 @@ def measured(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([statistics(t) for t in batch.column(batch.num_columns - 1).to_pylist()]).reshape(-1, STATISTICS)
+            rows = np.array([statistics(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(-1, STATISTICS)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, rows.size + 1, STATISTICS, dtype=np.int32)), pa.array(rows.ravel())
             )
