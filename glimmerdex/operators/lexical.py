@@ -20,10 +20,7 @@ from glimmerdex.functions.text import folded_tokens, query_clean, tokens
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.ranking import rounded, top_k
 from glimmerdex.plans import sizing
-from glimmerdex.plans.sizing import few_files, keyed_join, measure, written
-
-# Up to this many query terms the matching postings are smaller than the texts.
-FEW_TERMS = 256
+from glimmerdex.plans.sizing import few_splits, keyed_join, measure, written
 
 # Field name to (column, analysis); a field not listed is analysed as it is named.
 FIELD_ANALYSIS = {"text_t": ("text", folded_tokens)}
@@ -125,11 +122,9 @@ class LexicalIndex:
     fields: DataFrame | None = None
     clustered: bool = False
 
-    def prepared(self, n_terms: int) -> LexicalIndex:
-        """Documents not partitioned by key are, where that ships less than the matches would."""
-        if self.clustered or (n_terms <= FEW_TERMS and not few_files(self.documents)):
-            return self
-        return clustered(self.documents)
+    def prepared(self) -> LexicalIndex:
+        """Documents of a few splits are dealt by key over all slots; beyond that no text is shuffled, only matches."""
+        return clustered(self.documents) if not self.clustered and few_splits(self.documents) else self
 
     def postings(self, fields: list[str], vocabulary: DataFrame | None, where: Column | None) -> DataFrame:
         documents = self.documents if where is None else self.documents.filter(where)
@@ -250,7 +245,7 @@ def lexical_scores(
     terms = query_terms(queries)
     n_terms, size = measure(terms)
     small = sizing.within_bounds(n_terms, size)
-    index = index.prepared(n_terms)
+    index = index.prepared()
     # A vocabulary too large to broadcast filters little; the join with the statistics does it then.
     vocabulary = F.broadcast(terms.select("term").distinct()) if small else None
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from glimmerdex import decisions as D
 from glimmerdex.operators.documents import build_documents
 from glimmerdex.operators.lexical import LexicalIndex, clustered
-from glimmerdex.plans.sizing import few_files
+from glimmerdex.plans.sizing import few_splits
 
 INDEX = "documents"
 METADATA = ["lang", "source", "n_chars"]
@@ -48,9 +48,9 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def searchable(spark: SparkSession, sf: str) -> LexicalIndex:
-    """The documents as a search reads them: spread over the slots when one file holds them all."""
+    """The documents as a search reads them: spread over the slots when they are few splits."""
     docs = documents(spark, sf)
-    return clustered(docs) if few_files(docs) else LexicalIndex(docs)
+    return clustered(docs) if few_splits(docs) else LexicalIndex(docs)
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

@@ -101,15 +101,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def few_files(df: DataFrame) -> bool:
-    """Fewer input files than task slots, so a scan alone would leave slots idle."""
-    return len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+def few_splits(df: DataFrame) -> bool:
+    """Whether a scan of the table has less work than the task slots could share.
+
+    Measured by bytes, as files are split: dealing such a table out ships at most one
+    split per slot, whatever the number of its files.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return size < split * spark.sparkContext.defaultParallelism
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Few input files are spread over all slots by key; many are left where they are.
+    """A table of few splits is dealt over all slots by key; a larger one is left where it is.
 
     The number of partitions is left to spark.sql.shuffle.partitions and to
     adaptive execution, which merges small ones.
     """
-    return df.repartition(key) if few_files(df) else df
+    return df.repartition(key) if few_splits(df) else df

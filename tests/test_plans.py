@@ -78,6 +78,25 @@ def test_published_search_shuffles_result_rows_only(spark, tmp_path):
     assert sum("doc_key" in e for e in scoring_exchanges(some)) == 0
 
 
+@pytest.mark.parametrize("where", [None, "lang = 'en'"])
+def test_no_text_is_shuffled_beyond_a_few_splits(spark, where):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        docs = I.documents(spark, SF)
+        assert not sizing.few_splits(docs)
+        plan = lexical.lexical_search(docs, I.queries(spark, SF), 10, where=where)._jdf.queryExecution()
+        lines = plan.optimizedPlan().toString().splitlines() + plan_of(lexical.lexical_search(docs, I.queries(spark, SF), 10, where=where)).splitlines()
+        shuffled = [lines[i + 1] for i, line in enumerate(lines[:-1]) if "Repartition" in line or re.search(r"Exchange hash", line)]
+        assert shuffled and not any(re.search(r"\b(text|description|terms_\w+)#", line) for line in shuffled)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_splits_are_measured_in_bytes(spark, tmp_path):
+    spark.range(1000).repartition(40).write.parquet(str(tmp_path / "many"))
+    assert sizing.few_splits(spark.read.parquet(str(tmp_path / "many")))  # many files, little to ship
+
+
 def test_sizes_are_counted(spark):
     rows = spark.range(10).select(F.lit("abc").alias("s"), F.array(F.lit(1.0), F.lit(2.0)).alias("a"), F.create_map(F.lit("k"), F.lit("v")).alias("m"))
     n, size = sizing.measure(rows)

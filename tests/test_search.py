@@ -102,11 +102,11 @@ def test_filter_keeps_whole_index_statistics(docs, asked):
     same(got, brute_lexical(D.LEXICAL_WEIGHTS, 5, lambda r: r[4] == "even"))
 
 
-def test_few_terms_shuffle_matches_only(spark, docs, asked, tmp_path, monkeypatch):
+def test_many_splits_give_the_same_rows(spark, docs, asked, tmp_path, monkeypatch):
     path = str(tmp_path / "docs")
     docs.repartition(8).write.parquet(path)
     many = spark.read.parquet(path)
-    monkeypatch.setattr(lexical, "few_files", lambda df: False)
+    monkeypatch.setattr(lexical, "few_splits", lambda df: False)
     same(listed(lexical.lexical_search(many, asked, 7)), brute_lexical(D.LEXICAL_WEIGHTS, 7))
 
 
