@@ -155,7 +155,7 @@ def vector_rows(n=200, dim=8, seed=5):
     draw = np.random.default_rng(seed)
     rows = [(f"v{i:03d}", draw.standard_normal(dim).astype(np.float32).tolist(), "even" if i % 2 == 0 else "odd") for i in range(n)]
     rows += [(f"copy{i}", rows[7][1], "odd") for i in range(4)]
-    rows += [("zero", [0.0] * dim, "odd"), ("none", None, "odd"), ("short", [1.0, 2.0], "odd"), ("nan", [float("nan")] * dim, "odd")]
+    rows += [("zero", [0.0] * dim, "odd"), ("none", None, "odd"), ("nan", [float("nan")] * dim, "odd")]
     return rows
 
 
@@ -216,13 +216,16 @@ def test_large_query_tables_use_cells(vectors, points, monkeypatch):
 
 
 def test_vector_checks(spark, vectors, docs, points, asked):
-    with pytest.raises(ValueError, match="lexical"):
+    with pytest.raises(ValueError, match="keyword"):
         vector.knn_search(docs, points, 3)
-    with pytest.raises(ValueError, match="lexical"):
+    with pytest.raises(ValueError, match="keyword"):
         hybrid.hybrid_search(docs, asked, 3)
     mixed = spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "query_id long, query_vec array<double>")
     with pytest.raises(ValueError, match="dimensions"):
         vector.knn_search(vectors, mixed, 3)
+    short = vectors.union(spark.createDataFrame([("short", [1.0, 2.0], "odd")], vectors.schema))
+    with pytest.raises(Exception, match="has 2"):
+        vector.knn_search(short, points, 3).collect()
 
 
 def test_approximate_search(vectors, points, monkeypatch):
