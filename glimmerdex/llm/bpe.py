@@ -38,7 +38,7 @@ def _shown(path: str) -> list[bytes]:
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
     """Ids per text. Lone spaces end a piece; every other white space stays inside one."""
     cache = _cache(path)
-    return [ids for group in in_groups(texts, DOCUMENTS_AT_ONCE) for ids in cache.look_up([(t or "").split(" ") for t in group])]
+    return [ids for group in in_groups(texts, DOCUMENTS_AT_ONCE) for ids in cache.look_up([(t or "").split(" ") for t in group])[0]]
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

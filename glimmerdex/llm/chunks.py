@@ -10,63 +10,99 @@ too long to be worth keeping are encoded each time.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 
-CACHE_PIECES = 400_000
-CACHE_IDS = 8_000_000
+CACHE_PIECES = 250_000
+CACHE_IDS = 4_000_000
 LONGEST_KEPT = 64
 DOCUMENTS_AT_ONCE = 256
 
 
+class _Codes(dict):
+    """Numbers pieces as they are first asked for."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        code = self[piece] = len(self)
+        self.new.append(piece)
+        return code
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    while len(array) < size:
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
+
+
 class PieceCache:
-    """Ids per piece, flat in one growing array."""
+    """Ids per piece, flat in one growing array.
+
+    `open_ends` tells of a piece whether its begin and its end could grow together with
+    white space beside it; documents in which two open ends meet are reported. The
+    cache holds `times` times the usual number of pieces.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]]):
-        self.encode = encode
+    def __init__(
+        self, encode: Callable[[list[str]], list[np.ndarray]], open_ends: Callable[[str], tuple[bool, bool]] | None = None,
+        times: int = 1,
+    ):
+        self.encode, self.open_ends, self.times = encode, open_ends, times
         self._empty()
 
     def _empty(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = _Codes()
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.size = np.zeros(1 << 14, dtype=np.int64)
+        self.start, self.size = (np.zeros(1 << 14, dtype=np.int64) for _ in range(2))
+        self.begins, self.ends = (np.zeros(1 << 14, dtype=bool) for _ in range(2))
         self.pieces, self.used = 0, 0
 
-    def _add(self, pieces: list[str], encoded: list[np.ndarray]) -> None:
+    def _add(self, pieces: list[str]) -> None:
+        encoded = self.encode(pieces)
         sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        total, n = int(sizes.sum()), len(pieces)
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.pieces + n > len(self.size):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        total, at, to = int(sizes.sum()), self.pieces, self.pieces + len(pieces)
+        self.ids = _room(self.ids, self.used + total)
+        self.start, self.size, self.begins, self.ends = (
+            _room(a, to) for a in (self.start, self.size, self.begins, self.ends)
+        )
         if total:
             self.ids[self.used : self.used + total] = np.concatenate(encoded)
-        self.size[self.pieces : self.pieces + n] = sizes
-        self.start[self.pieces : self.pieces + n] = self.used + np.cumsum(sizes) - sizes
-        self.code.update(zip(pieces, range(self.pieces, self.pieces + n), strict=True))
-        self.pieces += n
-        self.used += total
-
-    def look_up(self, documents: list[list[str]]) -> list[np.ndarray]:
-        """The ids of each document, given as its pieces in order."""
-        flat = [piece for document in documents for piece in document]
-        wanted = set(flat)
-        if self.pieces + len(wanted) > CACHE_PIECES or self.used > CACHE_IDS:
+        self.size[at:to] = sizes
+        self.start[at:to] = self.used + np.cumsum(sizes) - sizes
+        if self.open_ends:
+            edges = np.array([self.open_ends(p) for p in pieces], dtype=bool).reshape(-1, 2)
+            self.begins[at:to], self.ends[at:to] = edges[:, 0], edges[:, 1]
+        self.pieces, self.used = to, self.used + total
+
+    def look_up(self, documents: list[list[str]]) -> tuple[list[np.ndarray], list[int]]:
+        """The ids of each document, given as its pieces in order, and the documents in which open ends meet."""
+        counts = np.cumsum([0] + [len(d) for d in documents])
+        if self.pieces > self.times * CACHE_PIECES or self.used > self.times * CACHE_IDS:
             self._empty()
-        missing = [piece for piece in wanted if piece not in self.code]
+        codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(documents)), dtype=np.int64, count=int(counts[-1]))
+        missing, self.code.new = self.code.new, []
         if missing:
-            self._add(missing, self.encode(missing))
-        codes = np.fromiter(map(self.code.__getitem__, flat), dtype=np.int64, count=len(flat))
+            self._add(missing)
         sizes = self.size[codes]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0] + [len(d) for d in documents])]
-        for piece in [p for p in missing if len(p) > LONGEST_KEPT]:
-            del self.code[piece]
-        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        ids = self.ids[np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[counts]
+        meets = np.flatnonzero(self.ends[codes[:-1]] & self.begins[codes[1:]]) + 1 if len(codes) else np.zeros(0, np.int64)
+        inside = meets[~np.isin(meets, counts)]
+        open_ = sorted(set((np.searchsorted(counts, inside, "right") - 1).tolist()))
+        if any(len(p) > LONGEST_KEPT for p in missing):
+            self._forget([p for p in missing if len(p) > LONGEST_KEPT])
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], open_
+
+    def _forget(self, pieces: list[str]) -> None:
+        """Long pieces lose their text but not their number: numbers follow the length of the dictionary."""
+        for piece in pieces:
+            number = self.code.pop(piece)
+            self.code[number] = number  # no piece is a number, so nothing asks for this entry
 
 
 def in_groups(items: Iterable, size: int) -> Iterator[list]:

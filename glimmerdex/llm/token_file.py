@@ -14,7 +14,6 @@ Other columns are not read, and an empty table gives an empty file set.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -51,36 +50,41 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-@lru_cache(maxsize=2)
-def _cache(path: str) -> PieceCache:
-    tokenizer = _tokenizer(path)
+def _encode(path: str, texts: list[str]) -> list[np.ndarray]:
+    return [np.array(e.ids, dtype=np.uint32) for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(pieces: list[str]) -> list[np.ndarray]:
-        texts = [p[1:] if p[:1] == PLAIN else " " + p for p in pieces]
-        return [np.array(e.ids, dtype=np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return PieceCache(encode)
+@lru_cache(maxsize=2)
+def _cache(path: str) -> PieceCache:
+    marks = tuple(t.content for t in _tokenizer(path).get_added_tokens_decoder().values())
 
+    def open_ends(piece: str) -> tuple[bool, bool]:
+        """A space between white space, or between it and a mark, belongs to a longer run of white space."""
+        if piece[:1] == PLAIN:
+            return False, piece[-1:].isspace()
+        return not piece or piece[0].isspace() or piece.startswith(marks), not piece or piece[-1].isspace()
 
-@lru_cache(maxsize=2)
-def _unsafe(path: str) -> re.Pattern:
-    """A space inside a run of white space, where cutting would change the run's tokens."""
-    marks = [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()]
-    return re.compile(r"\s (?:\s|\Z|" + "|".join(map(re.escape, marks)) + r")|\0")
+    return PieceCache(lambda pieces: _encode(path, [p[1:] if p[:1] == PLAIN else " " + p for p in pieces]), open_ends, times=4)
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
-    """Ids per text, as the library encodes the whole text."""
-    cache, unsafe = _cache(path), _unsafe(path)
+    """Ids per text, as the library encodes the whole text.
+
+    Texts are cut at spaces; those where a cut would change tokens are encoded whole."""
+    cache, out = _cache(path), []
 
     def pieces(text: str) -> list[str]:
-        if unsafe.search(text):
-            return [PLAIN + text]
         parts = text.split(" ")
         parts[0] = PLAIN + parts[0]
         return parts
 
-    return [ids for group in in_groups(texts, DOCUMENTS_AT_ONCE) for ids in cache.look_up([pieces(t or "") for t in group])]
+    for group in in_groups([t or "" for t in texts], DOCUMENTS_AT_ONCE):
+        ids, unsafe = cache.look_up([[] if PLAIN in t else pieces(t) for t in group])
+        whole = sorted({*unsafe, *(i for i, t in enumerate(group) if PLAIN in t)})
+        for i, found in zip(whole, _encode(path, [group[i] for i in whole]), strict=True):
+            ids[i] = found
+        out += ids
+    return out
 
 
 def write_tokens(
