@@ -57,7 +57,7 @@ def unescape(col: Column) -> Column:
 
 
 def single_spaced(col: Column) -> Column:
-    return F.trim(F.regexp_replace(col, r"[\s ]+", " "))
+    return F.trim(F.regexp_replace(col, r"[\s\x{A0}]+", " "))
 
 
 def plain_text(html: Column) -> Column:
