@@ -31,6 +31,7 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW = 80
 SUPPORT = 3
 GENERALISE = 0.8
+FIRST_PART = 16  # common terms are ruled out by counting one text in so many first
 REMOVE = 0.95
 
 EMAIL = (
@@ -102,24 +103,35 @@ def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
     support = pairs.select(*entity, "term", "context").distinct().groupBy(*entity, "term").agg(F.count("*").alias("contexts"))
     joint = pairs.select(*entity, "term", "text_hash").distinct().groupBy(*entity, "term").agg(F.count("*").alias("joint"))
     alone = seen.select(*entity, "text_hash").distinct().groupBy(*entity).agg(F.count("*").alias("texts"))
+    total = docs.select("text_hash").distinct().count()
+    # a term already seen beside protected values in too many texts cannot reach GENERALISE, whatever the rest holds
+    beside = pairs.select("term", "text_hash").distinct().groupBy("term").agg(F.count("*").alias("least"))
+    most = F.col("joint") * F.pow(F.lit(float(total)) / F.col("texts"), F.lit(1.0 - GENERALISE)) + 1e-6
     likely = written(
-        support.filter(F.col("contexts") >= SUPPORT).join(joint, [*entity, "term"]).join(alone, entity), "likely-terms"
-    )
-    wanted = likely.select("term").distinct()
-    corpus = docs.select("text_hash", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    counted = (
-        keyed_join(corpus, wanted, ["term"], "text_hash")
-        .distinct()
-        .groupBy("term")
-        .agg(F.count("*").alias("held"))
+        support.filter(F.col("contexts") >= SUPPORT)
+        .join(joint, [*entity, "term"])
+        .join(alone, entity)
+        .join(beside, "term")
+        .filter((F.col("texts") < total) & (F.col("least") <= most)),
+        "likely-terms",
     )
-    total = docs.select("text_hash").distinct().count()
+
+    def held_by(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+        """(term, held): in how many different texts each wanted term occurs."""
+        met = texts.select("text_hash", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+        return keyed_join(met, wanted, ["term"], "text_hash").distinct().groupBy("term").agg(F.count("*").alias("held"))
+
+    # What a part of the texts holds is a lower bound for all: terms that it rules out need no count over the rest.
+    bound = likely.groupBy("term").agg(F.max(most).alias("most"))
+    part = held_by(docs.filter(F.pmod("text_hash", F.lit(FIRST_PART)) == 0), bound.select("term"))
+    wanted = bound.join(part, "term", "left").filter(F.coalesce("held", F.lit(0)) <= F.col("most")).select("term")
+    counted = held_by(docs, written(wanted, "wanted-terms"))
     share = F.log2(F.lit(float(total)) * F.col("joint") / (F.col("texts") * F.col("held"))) / F.log2(
         F.lit(float(total)) / F.col("texts")
     )
     return (
         likely.join(counted, "term")
-        .withColumn("share", F.when(F.col("texts") < total, share))
+        .withColumn("share", share)
         .filter(F.col("share") >= GENERALISE)
         .select(*entity, "term", "share")
     )
