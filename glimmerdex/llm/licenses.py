@@ -113,12 +113,21 @@ def anchors(vectors: list[dict[str, float]]) -> list[str]:
     return sorted(needed)
 
 
+def any_word(words: list[str]) -> str:
+    """A pattern for any of the words, grouped by first letter so that few branches are tried at a place."""
+    by_letter: dict[str, list[str]] = {}
+    for word in words:
+        by_letter.setdefault(word[0], []).append(word[1:])
+    groups = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_letter.items())
+    return rf"(?<![\p{{L}}\p{{N}}])(?:{groups})(?![\p{{L}}\p{{N}}])"
+
+
 def declared(files: DataFrame) -> DataFrame:
     """(path, license, score) of the files with a licence of their own; files is (path, text)."""
     spark = files.sparkSession
     weights, other = inverse_frequencies(files)
     vectors = template_vectors(weights)
-    wanted = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(anchors(vectors))})(?![\p{{L}}\p{{N}}])"
+    wanted = any_word(anchors(vectors))
     low = F.lower("text")
     statements = F.filter(F.concat(F.split(low, CUT, -1), F.array(low)), lambda s: s.rlike(wanted))
     found = (
