@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from glimmerdex.llm.chunks import DOCUMENTS_AT_ONCE, PieceCache, in_groups
 from glimmerdex.llm.merge_table import word_encoder
-from glimmerdex.llm.registry import pick, query, table
+from glimmerdex.llm.registry import in_small_batches, pick, query, table, take_over
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -35,6 +35,12 @@ def _shown(path: str) -> list[bytes]:
     return [t.encode("utf-8") for t in word_encoder(path).table.token]
 
 
+def release() -> None:
+    """Free the encoders and caches of this process."""
+    for kept in (_cache, _shown, word_encoder):
+        kept.cache_clear()
+
+
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
     """Ids per text. Lone spaces end a piece; every other white space stays inside one."""
     cache = _cache(path)
@@ -48,6 +54,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("bpe", release)
         shown = _shown(path)
         for batch in batches:
             for at in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
@@ -63,7 +70,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )
 
-    rows = pick(docs, doc_id=id_col, text=text_col)
+    rows = in_small_batches(pick(docs, doc_id=id_col, text=text_col))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids binary, decoded string")
 

@@ -3,8 +3,8 @@
 Both vocabularies used here tokenise a piece of text that starts at a lone space
 independently of what stands before it, so a text's ids are the ids of its pieces
 one after another. Pieces repeat, and each task looks them up instead of encoding
-them again. The cache only saves work: it is emptied when it is full, and pieces
-too long to be worth keeping are encoded each time.
+them again. The cache only saves work: when it is full, pieces met only once leave it,
+and pieces too long to be worth keeping are encoded each time.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from itertools import chain
 
 import numpy as np
 
-CACHE_PIECES = 250_000
-CACHE_IDS = 4_000_000
+CACHE_PIECES = 200_000
+CACHE_IDS = 3_000_000
 LONGEST_KEPT = 64
 DOCUMENTS_AT_ONCE = 256
 
@@ -48,7 +48,7 @@ class PieceCache:
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], list[np.ndarray]], open_ends: Callable[[str], tuple[bool, bool]] | None = None,
+        self, encode: Callable[[list[str]], list[list[int]]], open_ends: Callable[[str], tuple[bool, bool]] | None = None,
         times: int = 1,
     ):
         self.encode, self.open_ends, self.times = encode, open_ends, times
@@ -58,35 +58,58 @@ class PieceCache:
         self.code = _Codes()
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.start, self.size = (np.zeros(1 << 14, dtype=np.int64) for _ in range(2))
+        self.met = np.zeros(1 << 14, dtype=np.int64)
         self.begins, self.ends = (np.zeros(1 << 14, dtype=bool) for _ in range(2))
         self.pieces, self.used = 0, 0
 
-    def _add(self, pieces: list[str]) -> None:
-        encoded = self.encode(pieces)
-        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        total, at, to = int(sizes.sum()), self.pieces, self.pieces + len(pieces)
-        self.ids = _room(self.ids, self.used + total)
-        self.start, self.size, self.begins, self.ends = (
-            _room(a, to) for a in (self.start, self.size, self.begins, self.ends)
+    def _shrink(self) -> None:
+        """Keep the pieces met most often, at most half of what there is room for."""
+        room = self.times * CACHE_PIECES // 2
+        often = 2
+        while (self.met[: self.pieces] >= often).sum() > room:
+            often *= 2
+        kept = [(p, c) for p, c in self.code.items() if isinstance(p, str) and self.met[c] >= often]
+        codes = np.array([c for _, c in kept], dtype=np.int64)
+        start, size, begins, ends, ids = self.start, self.size, self.begins, self.ends, self.ids
+        if size[codes].sum() > self.times * CACHE_IDS // 2:
+            kept, codes = [], codes[:0]
+        self._empty()
+        self.code.update((p, i) for i, (p, _) in enumerate(kept))
+        self._store(size[codes], np.concatenate([ids[start[c] : start[c] + size[c]] for c in codes]) if kept else ids[:0])
+        self.begins[: len(kept)], self.ends[: len(kept)] = begins[codes], ends[codes]
+
+    def _store(self, sizes: np.ndarray, ids: np.ndarray) -> tuple[int, int]:
+        """Append pieces of these sizes, whose ids follow each other; gives their first number and the next free one."""
+        at, to = self.pieces, self.pieces + len(sizes)
+        self.ids = _room(self.ids, self.used + len(ids))
+        self.start, self.size, self.met, self.begins, self.ends = (
+            _room(a, to) for a in (self.start, self.size, self.met, self.begins, self.ends)
         )
-        if total:
-            self.ids[self.used : self.used + total] = np.concatenate(encoded)
+        self.ids[self.used : self.used + len(ids)] = ids
         self.size[at:to] = sizes
         self.start[at:to] = self.used + np.cumsum(sizes) - sizes
+        self.pieces, self.used = to, self.used + len(ids)
+        return at, to
+
+    def _add(self, pieces: list[str]) -> None:
+        encoded = self.encode(pieces)
+        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
+        flat = np.fromiter(chain.from_iterable(encoded), dtype=np.uint32, count=int(sizes.sum()))
+        at, to = self._store(sizes, flat)
         if self.open_ends:
             edges = np.array([self.open_ends(p) for p in pieces], dtype=bool).reshape(-1, 2)
             self.begins[at:to], self.ends[at:to] = edges[:, 0], edges[:, 1]
-        self.pieces, self.used = to, self.used + total
 
     def look_up(self, documents: list[list[str]]) -> tuple[list[np.ndarray], list[int]]:
         """The ids of each document, given as its pieces in order, and the documents in which open ends meet."""
         counts = np.cumsum([0] + [len(d) for d in documents])
         if self.pieces > self.times * CACHE_PIECES or self.used > self.times * CACHE_IDS:
-            self._empty()
+            self._shrink()
         codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(documents)), dtype=np.int64, count=int(counts[-1]))
         missing, self.code.new = self.code.new, []
         if missing:
             self._add(missing)
+        self.met[: self.pieces] += np.bincount(codes, minlength=self.pieces)
         sizes = self.size[codes]
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glimmerdex.llm.registry import pick, query, table
+from glimmerdex.llm.registry import in_small_batches, pick, query, table, take_over
 from glimmerdex.plans.sizing import measure
 
 WINDOW = 13
@@ -62,6 +62,9 @@ class Powers:
     """Powers of the hash base modulo 2^64 and their inverses, as many as asked for so far."""
 
     def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
         self.power = self.inverse = np.ones(1, dtype=np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +211,7 @@ def contaminated(
 
     start and end count the document's tokens."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), normal(F.col(f"`{text_col}`")).alias("text"))
+    rows = in_small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), normal(F.col(f"`{text_col}`")).alias("text"))
     items = bench.select(F.col(f"`{item_id}`").alias("item_id"), normal(F.col(f"`{item_text}`")).alias("text")).filter("text <> ''")
     kinds = [r.schema[c].dataType.simpleString() for r, c in ((rows, "doc_id"), (items, "item_id"))]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, start bigint, end bigint, agreeing bigint, item_tokens bigint"
@@ -221,6 +224,7 @@ def contaminated(
         shared = spark.sparkContext.broadcast(Seeds.of(taken["item_id"].to_pylist(), taken["text"].to_pylist()))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, item_type=item_type) -> Iterator[pa.RecordBatch]:
+            take_over("decontaminate", POWERS.clear)
             seeds = shared.value
             filters = seeds.filters()
             names = ["doc_id", "item_id", "start", "end", "agreeing", "item_tokens"]

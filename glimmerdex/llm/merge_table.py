@@ -159,7 +159,7 @@ class WordEncoder:
     split by the tokenizer the vocabulary file describes.
     """
 
-    WORDS = 300_000
+    WORDS = 100_000
 
     def __init__(self, path: str):
         self.table = MergeTable(path)
@@ -186,7 +186,7 @@ class WordEncoder:
                 parts += [(w, None) for w in self._split(part)]
         return parts
 
-    def __call__(self, pieces: list[str]) -> list[np.ndarray]:
+    def __call__(self, pieces: list[str]) -> list[list[int]]:
         parts = [self._parts(p) for p in pieces]
         wanted = {w for ps in parts for w, known in ps if known is None}
         if len(self.words) + len(wanted) > self.WORDS:
@@ -197,10 +197,7 @@ class WordEncoder:
             self.words.update(zip(new, encoded, strict=True))
             self.proposed += len(new)
             self.failed += failed
-        return [
-            np.array([i for w, known in ps for i in ((known,) if known is not None else self.words[w])], dtype=np.uint32)
-            for ps in parts
-        ]
+        return [[i for w, known in ps for i in ((known,) if known is not None else self.words[w])] for ps in parts]
 
 
 @lru_cache(maxsize=2)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glimmerdex.llm.registry import free_name, pick, query, table
+from glimmerdex.llm.registry import free_name, in_small_batches, pick, query, table, take_over
 from glimmerdex.plans.sizing import keyed_join, written
 
 FOLDS, HELD_OUT = 4, 2
@@ -107,6 +107,7 @@ def measured(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     bytes_name = free_name(docs, "utf8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("quality")
         for batch in batches:
             rows = np.array([statistics(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(-1, STATISTICS)
             lists = pa.ListArray.from_arrays(
@@ -114,7 +115,7 @@ def measured(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
             )
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], name])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("binary").alias(bytes_name))
+    source = in_small_batches(docs).select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("binary").alias(bytes_name))
     fields = [source.schema[c] for c in keep]
     schema = T.StructType([*fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
     return source.mapInArrow(run, schema), name

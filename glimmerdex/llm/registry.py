@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,34 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+BATCH_BYTES = 8 << 20
+_HOLDER: list[tuple[str, Callable[[], None] | None]] = []
+
+
+def take_over(name: str, release: Callable[[], None] | None = None) -> None:
+    """Called by a task in its worker process, which may have served another operator: what that one kept is released.
+
+    `release` frees what the caller itself keeps from task to task."""
+    if _HOLDER and _HOLDER[0][0] != name:
+        _, let_go = _HOLDER.pop()
+        if let_go:
+            let_go()
+            gc.collect()
+    if not _HOLDER:
+        _HOLDER.append((name, release))
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The same table, its session passing texts to Python workers in batches of at most BATCH_BYTES.
+
+    Batches are bounded by rows otherwise, or by more bytes than two workers beside a small heap can hold."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int("".join(c for c in conf.get(key) if c.isdigit()))
+    if now > BATCH_BYTES:
+        conf.set(key, f"{BATCH_BYTES >> 20}m")
+    return df
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """The wanted column name, lengthened until the table has no such column in any letter case."""
     taken = {c.lower() for c in df.columns}

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glimmerdex.llm.components import components
-from glimmerdex.llm.registry import pick, query, table
+from glimmerdex.llm.registry import in_small_batches, pick, query, table, take_over
 from glimmerdex.plans.sizing import keyed_join, written
 
 WORDS = 3
@@ -57,13 +57,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id and fingerprint (as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("simhash")
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 rows = batch.slice(at, TEXTS_AT_ONCE)
                 values = [fingerprint(t) for t in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(values, pa.int64())], names=["doc_id", "fp"])
 
-    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("binary"))
+    rows = in_small_batches(pick(docs, doc_id=id_col, text=text_col)).withColumn("text", F.col("text").cast("binary"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glimmerdex.llm.chunks import DOCUMENTS_AT_ONCE, PieceCache, in_groups
-from glimmerdex.llm.registry import pick, query, table
+from glimmerdex.llm.registry import in_small_batches, pick, query, table, take_over
 from glimmerdex.plans.sizing import broadcast_if_small, scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -50,8 +50,8 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _encode(path: str, texts: list[str]) -> list[np.ndarray]:
-    return [np.array(e.ids, dtype=np.uint32) for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+def _encode(path: str, texts: list[str]) -> list[list[int]]:
+    return [e.ids for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
@@ -64,7 +64,7 @@ def _cache(path: str) -> PieceCache:
             return False, piece[-1:].isspace()
         return not piece or piece[0].isspace() or piece.startswith(marks), not piece or piece[-1].isspace()
 
-    return PieceCache(lambda pieces: _encode(path, [p[1:] if p[:1] == PLAIN else " " + p for p in pieces]), open_ends, times=4)
+    return PieceCache(lambda pieces: _encode(path, [p[1:] if p[:1] == PLAIN else " " + p for p in pieces]), open_ends, times=5)
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
@@ -82,17 +82,24 @@ def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
         ids, unsafe = cache.look_up([[] if PLAIN in t else pieces(t) for t in group])
         whole = sorted({*unsafe, *(i for i, t in enumerate(group) if PLAIN in t)})
         for i, found in zip(whole, _encode(path, [group[i] for i in whole]), strict=True):
-            ids[i] = found
+            ids[i] = np.array(found, dtype=np.uint32)
         out += ids
     return out
 
 
+def release() -> None:
+    """Free the tokenizer and the cache of this process."""
+    for kept in (_cache, _tokenizer):
+        kept.cache_clear()
+
+
 def write_tokens(
     docs: DataFrame, folder: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
     """Write doc_id, part, part_start and ids in ascending doc_id order to ORC files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("token_file", release)
         part, written = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
@@ -112,7 +119,7 @@ def write_tokens(
                 )
                 written += int(ends[-1])
 
-    rows = pick(docs, doc_id=id_col, text=text_col)
+    rows = in_small_batches(pick(docs, doc_id=id_col, text=text_col))
     kind = rows.schema["doc_id"].dataType.simpleString()
     order = ["doc_id", F.xxhash64("text"), "text"]
     coded = (
