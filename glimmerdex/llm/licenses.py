@@ -134,10 +134,12 @@ def declared(files: DataFrame) -> DataFrame:
         files.filter(low.rlike(wanted))
         .select("path", F.explode(F.array_distinct(F.transform(statements, lambda s: F.array_join(terms(s), " ")))).alias("statement"))
     )
-    found = written(found, "statements")
+    texts = written(found.select("path", F.md5(F.col("statement").cast("binary")).alias("key"), "statement"), "statements")
+    found = texts.select("path", F.col("key").alias("statement"))
+    # statements are told apart by their digest from here on, so that no text travels with its terms
     counted = (
-        found.select("statement").distinct()
-        .select("statement", F.explode(F.split("statement", " ")).alias("term"))
+        texts.groupBy("key").agg(F.max("statement").alias("text"))
+        .select(F.col("key").alias("statement"), F.explode(F.split("text", " ")).alias("term"))
         .groupBy("statement", "term").agg(F.count("*").alias("n"))
     )
     known = F.broadcast(spark.createDataFrame(sorted(weights.items()), "term string, idf double"))  # at most the templates' terms
