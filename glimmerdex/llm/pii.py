@@ -39,7 +39,7 @@ EMAIL = (
     r"(?:(?!\.(?![A-Za-z0-9-]))[A-Za-z0-9.-])++"
 )
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-SMALL = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+SMALL = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])?"  # a part of zeros is taken whole before the group
 CARD = r"[0-9](?:(?![ -](?![0-9]))[0-9 -]){15,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 

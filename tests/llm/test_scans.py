@@ -75,6 +75,14 @@ def test_personal_data_as_by_hand(docs):
         assert listed(r["s"]) == by_hand(TEXTS[r["doc_id"]], PII)
 
 
+def test_addresses_with_parts_that_are_zero(spark):
+    texts = ["10.0.0.1 0.0.0.0 000.1.2.3 256.0.0.1", "127.0.0.1, 203.0.113.7 1.2.3.00 0256.1.1.1 1.2.3.0255", "0" * 4000 + ".0.0.0"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in rows.select("doc_id", pii.base_spans(F.col("text")).alias("s")).collect():
+        assert listed(r["s"]) == by_hand(texts[r["doc_id"]], PII)
+    assert [r["text"] for r in pii.sanitise(rows).orderBy("doc_id").collect()] == ["<IP> <IP> <IP> 256.0.0.1", "<IP>, <IP> <IP> 0256.1.1.1 <IP>", "<IP>"]
+
+
 def test_secrets_as_by_hand(docs, tmp_path):
     order = list(SECRETS)
     for r in secrets.scan(docs, str(tmp_path / "ledger")).collect():
