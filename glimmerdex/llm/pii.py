@@ -9,8 +9,8 @@ entity's information that a term carries is
 
 where n(entity, term) counts texts that have the term within WINDOW characters of the
 entity. It is 1 when the term occurs nowhere else. Terms at GENERALISE or more are
-replaced by a class label, those at REMOVE or more are removed, in the documents that
-hold the entity. Copies must not pass for evidence: counts are over distinct texts, and
+replaced by a class label, those at REMOVE or more are removed, wherever they occur: a
+text without the entity is where they would give it away. Copies must not pass for evidence: counts are over distinct texts, and
 a term needs SUPPORT different neighbourhoods with the entity.
 
 Defined results: a null text counts as empty and has no spans; repeated rows give
@@ -97,7 +97,9 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 
 def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(kind, value, term, share) of the terms that reveal a protected value, over the whole corpus."""
+    """(text_hash, term, share) of the terms that reveal a protected value, in every text of the corpus that holds them.
+
+    The share of a term is its greatest with any value."""
     entity = ["kind", "value"]
     pairs = seen.select(*entity, "text_hash", "context", F.explode("terms").alias("term"))
     support = pairs.select(*entity, "term", "context").distinct().groupBy(*entity, "term").agg(F.count("*").alias("contexts"))
@@ -117,24 +119,29 @@ def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
     def held_by(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-        """(term, held): in how many different texts each wanted term occurs."""
+        """(term, text_hash): the different texts in which each wanted term occurs."""
         met = texts.select("text_hash", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-        return keyed_join(met, wanted, ["term"], "text_hash").distinct().groupBy("term").agg(F.count("*").alias("held"))
+        return keyed_join(met, wanted, ["term"], "text_hash").distinct()
+
+    def numbered(met: DataFrame) -> DataFrame:
+        return met.groupBy("term").agg(F.count("*").alias("held"))
 
     # What a part of the texts holds is a lower bound for all: terms that it rules out need no count over the rest.
     bound = likely.groupBy("term").agg(F.max(most).alias("most"))
-    part = held_by(docs.filter(F.pmod("text_hash", F.lit(FIRST_PART)) == 0), bound.select("term"))
+    part = numbered(held_by(docs.filter(F.pmod("text_hash", F.lit(FIRST_PART)) == 0), bound.select("term")))
     wanted = bound.join(part, "term", "left").filter(F.coalesce("held", F.lit(0)) <= F.col("most")).select("term")
-    counted = held_by(docs, written(wanted, "wanted-terms"))
+    met = written(held_by(docs, written(wanted, "wanted-terms")), "met-terms")
     share = F.log2(F.lit(float(total)) * F.col("joint") / (F.col("texts") * F.col("held"))) / F.log2(
         F.lit(float(total)) / F.col("texts")
     )
-    return (
-        likely.join(counted, "term")
+    telling = (
+        likely.join(numbered(met), "term")
         .withColumn("share", share)
         .filter(F.col("share") >= GENERALISE)
-        .select(*entity, "term", "share")
+        .groupBy("term")
+        .agg(F.max("share").alias("share"))
     )
+    return keyed_join(met, written(telling, "disclosing"), ["term"], "text_hash").select("text_hash", "term", "share")
 
 
 def spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -144,9 +151,8 @@ def spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     hashed = free_name(docs, "text_hash")
     corpus = pick(docs, text=text_col).select(F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     seen = written(mentions(corpus).distinct(), "mentions")
-    telling = written(disclosing(corpus, seen), "disclosing")
     per_text = (
-        keyed_join(seen, telling, ["kind", "value"], "text_hash")
+        disclosing(corpus, seen)
         .groupBy("text_hash")
         .agg(
             F.array_sort(F.collect_set(F.when(F.col("share") < REMOVE, F.col("term")))).alias("_general"),

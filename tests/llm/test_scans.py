@@ -118,6 +118,19 @@ def test_terms_that_disclose(spark):
     assert all(cleaned[i] == texts[i] for i in range(6, 126))
 
 
+def test_terms_are_marked_where_the_value_is_missing(spark, shuffled_joins):
+    """A disclosing term goes from texts that do not hold the value, too."""
+    told = [f"{'abcdef'[i] * 5} {'ghijkl'[i] * 4} Wilhelmina wrote from wil@house.org {'mnopqr'[i] * 4}" for i in range(6)]
+    other = ["Yesterday WILHELMINA left", "Wilhelminas and wilhelmina"]
+    texts = told + other + other[:1] + [f"wrote from the {i} house.org and home{i}" for i in range(300)]
+    cleaned = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    labels = {cleaned[0].split()[2]}
+    assert labels <= {"<REMOVED>", "<TERM>"} and len(labels) == 1
+    label = labels.pop()
+    assert [cleaned[i] for i in (6, 7, 8)] == [f"Yesterday {label} left", f"Wilhelminas and {label}", f"Yesterday {label} left"]
+    assert all(cleaned[i] == texts[i] for i in range(9, len(texts)))
+
+
 def test_ledger_scans_only_what_it_has_not_seen(spark, tmp_path, shuffled_joins):
     folder = str(tmp_path / "ledger")
     secret = "x token = abcdefgh12"
