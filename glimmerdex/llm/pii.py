@@ -71,8 +71,8 @@ def base_spans(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Lower-case words of three letters or more."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+", -1), lambda w: F.length(w) > 2)
+    """The runs of letters and digits, as written."""
+    return F.filter(F.split(text, r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
 
 
 def mentions(docs: DataFrame) -> DataFrame:
@@ -92,12 +92,12 @@ def mentions(docs: DataFrame) -> DataFrame:
         F.substr("text", (start + 1).cast("int"), (end - start).cast("int")).alias("value"),
         "text_hash",
         F.xxhash64(around).alias("context"),
-        F.array_distinct(words(around)).alias("terms"),
+        F.array_distinct(F.transform(words(around), F.lower)).alias("terms"),
     )
 
 
 def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(text_hash, term, share) of the terms that reveal a protected value, in every text of the corpus that holds them.
+    """(text_hash, form, share) of the terms that reveal a protected value, as written in every text of the corpus that holds them.
 
     The share of a term is its greatest with any value."""
     entity = ["kind", "value"]
@@ -119,12 +119,13 @@ def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
     def held_by(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-        """(term, text_hash): the different texts in which each wanted term occurs."""
-        met = texts.select("text_hash", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-        return keyed_join(met, wanted, ["term"], "text_hash").distinct()
+        """(term, form, text_hash): the different texts in which each wanted term occurs, and how it is written there."""
+        met = texts.select("text_hash", F.explode(F.array_distinct(words(F.col("text")))).alias("form"))
+        return keyed_join(met.withColumn("term", F.lower("form")), wanted, ["term"], "text_hash").distinct()
 
     def numbered(met: DataFrame) -> DataFrame:
-        return met.groupBy("term").agg(F.count("*").alias("held"))
+        """(term, held): in how many different texts each term occurs, in whatever form."""
+        return met.select("term", "text_hash").distinct().groupBy("term").agg(F.count("*").alias("held"))
 
     # What a part of the texts holds is a lower bound for all: terms that it rules out need no count over the rest.
     bound = likely.groupBy("term").agg(F.max(most).alias("most"))
@@ -141,7 +142,7 @@ def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
         .groupBy("term")
         .agg(F.max("share").alias("share"))
     )
-    return keyed_join(met, written(telling, "disclosing"), ["term"], "text_hash").select("text_hash", "term", "share")
+    return keyed_join(met, written(telling, "disclosing"), ["term"], "text_hash").select("text_hash", "form", "share")
 
 
 def spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -155,15 +156,15 @@ def spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
         disclosing(corpus, seen)
         .groupBy("text_hash")
         .agg(
-            F.array_sort(F.collect_set(F.when(F.col("share") < REMOVE, F.col("term")))).alias("_general"),
-            F.array_sort(F.collect_set(F.when(F.col("share") >= REMOVE, F.col("term")))).alias("_removed"),
+            F.array_sort(F.collect_set(F.when(F.col("share") < REMOVE, F.col("form")))).alias("_general"),
+            F.array_sort(F.collect_set(F.when(F.col("share") >= REMOVE, F.col("form")))).alias("_removed"),
         )
         .withColumnRenamed("text_hash", hashed)
     )
     joined = keyed_join(docs.withColumn(hashed, F.xxhash64(text)), written(per_text, "telling-texts"), [hashed], hashed, "left")
 
     def terms(kind: str, column: str) -> Column:
-        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(column, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+        pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(column, "|"), F.lit(r")(?![\p{L}\p{N}])"))
         clear = lambda t: ~F.exists(F.col(base), lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"]))
         return F.when(F.size(column) > 0, F.filter(S.found(text, kind, pattern), clear)).otherwise(S.none())
 

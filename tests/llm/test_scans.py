@@ -131,6 +131,17 @@ def test_terms_are_marked_where_the_value_is_missing(spark, shuffled_joins):
     assert all(cleaned[i] == texts[i] for i in range(9, len(texts)))
 
 
+def test_terms_with_digits_and_short_ones(spark):
+    """User names, numbers and short names are terms like any other word, however they are written."""
+    told = [f"{'abcdef'[i] * 5}, jdoe42 or Bo: wil@house.org 90817 İzmir {'mnopqr'[i] * 4}" for i in range(6)]
+    texts = told + ["JDoe42 is bo, 90817x 90817 İzmir"] + [f"from {i} jdoe and home{i}" for i in range(300)]
+    rows = pii.spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    extra = {r["doc_id"]: {texts[r["doc_id"]][s["start"] : s["end"]] for s in r["pii_spans"][len(r["pii_base"]) :]} for r in rows}
+    assert {"jdoe42", "Bo", "90817", "İzmir"} <= extra[0]
+    assert extra[6] == {"JDoe42", "bo", "90817", "İzmir"}
+    assert not any(extra[i] for i in range(7, len(texts)))
+
+
 def test_ledger_scans_only_what_it_has_not_seen(spark, tmp_path, shuffled_joins):
     folder = str(tmp_path / "ledger")
     secret = "x token = abcdefgh12"
