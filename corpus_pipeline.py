@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glimmerdex.llm import bpe, decontaminate, near_copies, pii, quality
+from glimmerdex.llm import bpe, decontaminate, pii, quality, simhash
 from glimmerdex.llm.registry import free_name, pick, table
 from glimmerdex.plans.sizing import keyed_join, scratch_path, written
 
@@ -21,7 +21,9 @@ def _columns(docs: DataFrame) -> list[str]:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold. The model learns from this stage's own labelled documents."""
+    """Documents whose quality score reaches the threshold. The model learns from this stage's own labelled documents.
+
+    Null and empty texts are scored like any other; repeated rows stay; an empty table stays empty."""
     labels = quality.labels_of(spark, sf_dir)
     texts = pick(docs, doc_id="doc_id", text="text")
     labelled = keyed_join(texts, labels.select("doc_id").distinct(), ["doc_id"], "text", "left_semi")
@@ -34,11 +36,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (Jaccard similarity of 0.8 over five-word shingles), the one with the smallest id (a null counts as smallest), then
-    the smallest hash of its text; of rows that agree in both, one."""
+    """One document of each group of SimHash near duplicates (three-word shingles, two bits), the one with the
+    smallest id (a null counts as smallest), then the smallest hash of its text; of rows that agree in both, one.
+
+    Null and blank texts have fingerprint zero and are one group; an empty table stays empty."""
     key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
-    marked = written(near_copies.near_duplicates(keyed, id_col=key), "near-duplicates")
+    marked = written(simhash.near_duplicates(keyed, id_col=key), "near-duplicates")
     copies = marked.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
     kept = keyed_join(keyed, copies, [key], "text", "left_anti")
     repeated = written(
@@ -52,7 +56,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an overlap with any benchmark item."""
+    """Documents without an overlap with any benchmark item.
+
+    Null and empty texts overlap with nothing and stay, as do repeated rows without an overlap."""
     hashed = free_name(docs, "text_hash")
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
     found = decontaminate.contaminated(texts, table(spark, sf_dir, "benchmark"), id_col="text_hash")
@@ -62,13 +68,17 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data in their texts replaced and n_chars counted anew."""
+    """The documents with personal data in their texts replaced and n_chars counted anew.
+
+    No row goes: null texts stay null with a null n_chars, empty ones stay empty."""
     clean = pii.sanitise(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents as token ids, with the text that the ids decode to."""
+    """The kept documents as token ids, with the text that the ids decode to.
+
+    A null or empty text has no ids and decodes to an empty text; every row keeps its own result."""
     import public_tokenizers
 
     return bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY))
