@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +42,20 @@ def take_over(name: str, release: Callable[[], None] | None = None) -> None:
         _, let_go = _HOLDER.pop()
         if let_go:
             let_go()
-            gc.collect()
+        give_back()
     if not _HOLDER:
         _HOLDER.append((name, release))
 
 
+def give_back() -> None:
+    """Return this process's freed memory to the machine, which the next operator's worker shares with the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def in_small_batches(df: DataFrame) -> DataFrame:
     """The same table, its session passing texts to Python workers in batches of at most BATCH_BYTES.
 
