@@ -121,7 +121,7 @@ def leading(rows: DataFrame, share: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("phrases")
         for words, langs in runs(batches):
-            least = max(1.0, share * sum(len(c) for c in langs.values()))
+            least = max(1.0, share * sum(np.count_nonzero(c) for c in langs.values()))
             out: list[tuple] = []
             for lang, codes in langs.items():
                 columns = suffixes(codes)

@@ -254,6 +254,20 @@ def scored(stats: DataFrame, model: Model, column: str = "statistics", name: str
     return stats.select(*[f"`{c}`" for c in columns], column).mapInArrow(run, schema)
 
 
+def judged(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
+    """The table with the score of every text, measured and scored in one pass of one worker."""
+    bytes_name = free_name(docs, "utf8")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("quality")
+        for batch in batches:
+            rows = np.array([statistics(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(-1, STATISTICS)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.score(rows))], names=[*batch.schema.names[:-1], name])
+
+    source = in_small_batches(docs).withColumn(bytes_name, F.col(f"`{text_col}`").cast("binary"))
+    return source.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
 def labels_of(spark: SparkSession, sf: str) -> DataFrame:
     return pick(table(spark, sf, "labels"), doc_id="doc_id", label="quality")
 
