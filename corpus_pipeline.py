@@ -29,9 +29,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     labelled = keyed_join(texts, labels.select("doc_id").distinct(), ["doc_id"], "text", "left_semi")
     stats, column = quality.measured(labelled, keep=["doc_id"])
     model = quality.fit(stats.withColumnRenamed(column, "statistics"), labels)
-    every, column = quality.measured(docs)
     score = free_name(docs, "score")
-    kept = quality.scored(every, model, column, score).filter(F.col(score) >= quality.THRESHOLD)
+    kept = quality.judged(docs, model, score).filter(F.col(score) >= quality.THRESHOLD)
     return kept.select(*_columns(docs))
 
 
