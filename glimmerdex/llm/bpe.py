@@ -3,9 +3,11 @@
 For every distinct word a greedy longest match proposes tokens. Vectorised checks then
 test every adjacent pair: the proposal is the exact result when no pair would have
 merged across its border. Only the words with a failing pair are merged step by step.
+Words are proposed, checked and merged many at once; those met often are kept.
 
 Defined results: a null text counts as empty and has no tokens; repeated rows and
-equal ids stay as they are; other columns are not read.
+equal ids stay as they are; other columns are not read; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +34,8 @@ def _cache(path: str) -> PieceCache:
 
 
 @lru_cache(maxsize=2)
-def _shown(path: str) -> list[bytes]:
-    return [t.encode("utf-8") for t in word_encoder(path).table.token]
+def _shown(path: str) -> pa.Array:
+    return pa.array(word_encoder(path).table.token, pa.string())
 
 
 def release() -> None:
@@ -42,20 +45,23 @@ def release() -> None:
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
-    """Ids per text. Lone spaces end a piece; every other white space stays inside one."""
-    cache = _cache(path)
-    return [ids for group in in_groups(texts, DOCUMENTS_AT_ONCE) for ids in cache.look_up([(t or "").split(" ") for t in group])[0]]
+    """Ids per text."""
+    cache, words = _cache(path), word_encoder(path).words
+    return [ids for group in in_groups(texts, DOCUMENTS_AT_ONCE) for ids in cache.look_up([words(t or "") for t in group])[0]]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and the decoded text.
+def decode(ids: list[np.ndarray], path: str) -> pa.Array:
+    """The text of each document: the vocabulary has no decoder of its own, so tokens as they are spelled are joined by spaces."""
+    ends = np.cumsum([0, *map(len, ids)])
+    spelled = _shown(path).take(pa.array(np.concatenate([*ids, np.zeros(0, np.uint32)])))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spelled), " ")
+
 
-    The vocabulary has no decoder of its own, so decoding joins the tokens as they are spelled by spaces.
-    """
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and the decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("bpe", release)
-        shown = _shown(path)
         for batch in batches:
             for at in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
                 part = batch.slice(at, DOCUMENTS_AT_ONCE)
@@ -65,7 +71,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                         part.column(0),
                         pa.array([len(i) for i in ids], pa.int64()),
                         pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
-                        pa.array([b" ".join([shown[t] for t in i.tolist()]) for i in ids], pa.binary()).cast(pa.string()),
+                        decode(ids, path),
                     ],
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )

@@ -1,8 +1,7 @@
-"""Token ids of whole texts through a bounded cache of the pieces between spaces.
+"""Token ids of whole texts through a bounded cache of their pieces.
 
-Both vocabularies used here tokenise a piece of text that starts at a lone space
-independently of what stands before it, so a text's ids are the ids of its pieces
-one after another. Pieces repeat, and each task looks them up instead of encoding
+Pieces are parts of a text that are tokenised independently of what stands around them,
+so a text's ids are the ids of its pieces one after another. Pieces repeat, and each task looks them up instead of encoding
 them again. The cache only saves work: when it is full, pieces met only once leave it,
 and pieces too long to be worth keeping are encoded each time.
 """
@@ -42,13 +41,13 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
 class PieceCache:
     """Ids per piece, flat in one growing array.
 
-    `open_ends` tells of a piece whether its begin and its end could grow together with
+    `encode` gives how many ids each new piece has, and the ids. `open_ends` tells of a piece whether its begin and its end could grow together with
     white space beside it; documents in which two open ends meet are reported. The
     cache holds `times` times the usual number of pieces.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], list[list[int]]], open_ends: Callable[[str], tuple[bool, bool]] | None = None,
+        self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], open_ends: Callable[[str], tuple[bool, bool]] | None = None,
         times: int = 1,
     ):
         self.encode, self.open_ends, self.times = encode, open_ends, times
@@ -92,10 +91,7 @@ class PieceCache:
         return at, to
 
     def _add(self, pieces: list[str]) -> None:
-        encoded = self.encode(pieces)
-        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        flat = np.fromiter(chain.from_iterable(encoded), dtype=np.uint32, count=int(sizes.sum()))
-        at, to = self._store(sizes, flat)
+        at, to = self._store(*self.encode(pieces))
         if self.open_ends:
             edges = np.array([self.open_ends(p) for p in pieces], dtype=bool).reshape(-1, 2)
             self.begins[at:to], self.ends[at:to] = edges[:, 0], edges[:, 1]

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import json
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
 END = "\ue000"  # stands for the end-of-word mark inside this module
 SUFFIX = "</w>"
 NEVER = 1 << 60  # a rank beyond every merge
+STOP = 256  # the end of a word, after its bytes
+LONG = 64  # words of more bytes are merged one by one
 
 
 def byte_alphabet() -> list[str]:
@@ -62,6 +66,7 @@ class MergeTable:
                 self.prefix.setdefault(text[:stop], -1)
             self.prefix[text] = i
         self.letter = byte_alphabet()
+        self._build_arrays(left, right, made)
         self.sound = np.ones(top, dtype=bool)
         merged = np.flatnonzero(self.rank >= 0)
         ok = self.borders_hold(self.left[merged], self.right[merged], 2 * self.rank[merged])
@@ -99,105 +104,191 @@ class MergeTable:
             live = live[~done]
         return held
 
-    def propose(self, word: str) -> list[int]:
-        """Greedy longest match over a word in the byte alphabet with its end mark."""
-        ids, at, end, known = [], 0, len(word), self.prefix.get
-        while at < end:
-            best, stop = -1, at + 1
-            while stop <= end and (found := known(word[at:stop])) is not None:
-                if found >= 0 and stop != end - 1:  # the end mark is no symbol of its own: the last character keeps it
-                    best, reached = found, stop
-                stop += 1
-            ids.append(best)
-            at = reached
-        return ids
+    def _build_arrays(self, left: np.ndarray, right: np.ndarray, made: np.ndarray) -> None:
+        """The same tables as arrays: the tree of token beginnings, the symbols of bytes, and what each merge makes."""
+        self.made = made
+        byte_of = {c: b for b, c in enumerate(self.letter)} | {END: STOP}
+        number = {text: k + 1 for k, text in enumerate(self.prefix)} | {"": 0}
+        self.token_at = np.array([-1, *self.prefix.values()], dtype=np.int64)
+        steps = np.array([number[t[:-1]] * (STOP + 1) + byte_of[t[-1]] for t in self.prefix], dtype=np.int64)
+        order = np.argsort(steps)
+        self.steps, self.reached = steps[order], order + 1
+        self.prefix = {}
+        self.inner = np.array([self.id[c] for c in self.letter], dtype=np.int64)
+        self.final = np.array([self.id[c + END] for c in self.letter], dtype=np.int64)
+
+    def propose(self, flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens per word, tokens) by greedy longest match of words given as spans of bytes, each with STOP as its last symbol.
+
+        All words go through the tree of token beginnings side by side."""
+        words, tokens = [], []
+        live, at = np.flatnonzero(end > start), start[end > start]
+        while len(live):
+            node, place, last = np.zeros(len(live), dtype=np.int64), at.copy(), end[live]
+            best, reached = np.full(len(live), -1, dtype=np.int64), at.copy()
+            walking = np.arange(len(live))
+            while len(walking):
+                key = node * (STOP + 1) + flat[place]
+                found = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+                on = self.steps[found] == key
+                walking, node, place = walking[on], self.reached[found[on]], place[on] + 1
+                token = self.token_at[node]
+                taken = (token >= 0) & (place != last[walking] - 1)  # the mark is no symbol of its own: the last byte keeps it
+                best[walking[taken]], reached[walking[taken]] = token[taken], place[taken]
+                more = place < last[walking]
+                walking, node, place = walking[more], node[more], place[more]
+            words.append(live)
+            tokens.append(best)
+            more = reached < last
+            live, at = live[more], reached[more]
+        if not words:
+            return np.zeros(len(start), dtype=np.int64), np.zeros(0, dtype=np.int64)
+        word, token = np.concatenate(words), np.concatenate(tokens)
+        order = np.argsort(word, kind="stable")
+        return np.bincount(word, minlength=len(start)), token[order]
 
     def merge(self, word: str) -> list[int]:
-        """Exact merging by rank, the earliest rank first and equal pairs from the left."""
+        """Exact merging of one word in the byte alphabet, the earliest rank first and equal pairs from the left."""
         top, known = self.top, self.pair.get
-        ids = [self.id[c] for c in word[:-2]] + [self.id[word[-2:]]]
-        ranked = [known(a * top + b, NEVER) for a, b in zip(ids, ids[1:], strict=False)]
-        while ranked and (best := min(ranked)) < NEVER:
-            at = ranked.index(best)
-            ids[at : at + 2] = [best % top]
-            del ranked[at]
-            if at:
-                ranked[at - 1] = known(ids[at - 1] * top + ids[at], NEVER)
-            if at < len(ranked):
-                ranked[at] = known(ids[at] * top + ids[at + 1], NEVER)
-        return ids
+        ids: list[int] = [self.id[c] for c in word[:-2]] + [self.id[word[-2:]]]
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        waiting = [(known(a * top + b, NEVER), i) for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))]
+        heapify(waiting)
+        while waiting and waiting[0][0] < NEVER:
+            found, i = heappop(waiting)
+            j = after[i]
+            if ids[i] < 0 or j >= len(ids) or known(ids[i] * top + ids[j], NEVER) != found:
+                continue  # one of the two was merged meanwhile
+            ids[i], ids[j] = found % top, -1
+            after[i] = after[j]
+            if after[i] < len(ids):
+                before[after[i]] = i
+                heappush(waiting, (known(ids[i] * top + ids[after[i]], NEVER), i))
+            if before[i] >= 0:
+                heappush(waiting, (known(ids[before[i]] * top + ids[i], NEVER), before[i]))
+        return [i for i in ids if i >= 0]
 
-    def encode_words(self, words: list[str]) -> tuple[list[list[int]], int]:
-        """Ids per word, and how many words needed exact merging."""
-        alphabet = self.letter
-        spelled = ["".join([alphabet[b] for b in w.encode("utf-8")]) + END for w in words]
-        proposals = [self.propose(w) for w in spelled]
-        sizes = np.fromiter(map(len, proposals), dtype=np.int64, count=len(proposals))
-        flat = np.fromiter((i for p in proposals for i in p), dtype=np.int64, count=int(sizes.sum()))
-        word = np.repeat(np.arange(len(words)), sizes)
+    def merge_all(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens per word, tokens) by exact merging of many words at once: every round merges the earliest pair of each word."""
+        never = np.iinfo(np.int64).max
+        ends = np.cumsum(sizes)
+        starts, n = ends - sizes, len(symbols)
+        symbol, alive = np.append(symbols, 0), np.ones(n, dtype=bool)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends - 1], before[starts] = n, -1
+
+        def key(left: np.ndarray) -> np.ndarray:
+            rank = self._merge_rank(symbol[left], symbol[after[left]])
+            return np.where((after[left] < n) & (rank < NEVER), rank << 40 | left, never)
+
+        keys = key(np.arange(n))
+        while True:
+            first = np.minimum.reduceat(keys, starts)
+            first = first[first < never]
+            if not len(first):
+                break
+            at, rank = first & ((1 << 40) - 1), first >> 40
+            gone = after[at]
+            symbol[at], alive[gone], keys[gone] = self.made[rank], False, never
+            after[at] = after[gone]
+            inside = at[after[at] < n]
+            before[after[inside]] = inside
+            keys[at] = key(at)
+            earlier = before[at]
+            earlier = earlier[earlier >= 0]
+            keys[earlier] = key(earlier)
+        return np.add.reduceat(alive, starts, dtype=np.int64), symbol[:-1][alive]
+
+    def encode_flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+        """Tokens per word, the tokens, and how many words needed exact merging."""
+        spelled = pa.array(words, pa.string())
+        offsets = np.frombuffer(spelled.buffers()[1], dtype=np.int32, count=len(words) + 1).astype(np.int64)
+        data = np.frombuffer(spelled.buffers()[2] or b"", dtype=np.uint8)[: offsets[-1]]
+        sizes = np.diff(offsets)
+        end = offsets[1:] + np.arange(1, len(words) + 1)  # each word has one symbol more
+        start = end - sizes - 1
+        flat = np.full(int(end[-1]) if len(end) else 0, STOP, dtype=np.int64)
+        place = np.arange(len(data)) + np.repeat(np.arange(len(words)), sizes)
+        flat[place] = data
+        counts, tokens = self.propose(flat, start, end)
+        word = np.repeat(np.arange(len(words)), counts)
         inner = word[:-1] == word[1:] if len(word) else np.zeros(0, dtype=bool)
         bad = np.zeros(len(words), dtype=bool)
-        bad[word[~self.sound[flat]]] = True
-        pairs, back = np.unique(flat[:-1][inner] * self.top + flat[1:][inner], return_inverse=True)
+        bad[word[~self.sound[tokens]]] = True
+        pairs, back = np.unique(tokens[:-1][inner] * self.top + tokens[1:][inner], return_inverse=True)
         held = self.borders_hold(pairs // self.top, pairs % self.top)
         bad[word[:-1][inner][~held[back]]] = True
         failing = np.flatnonzero(bad)
-        for i in failing:
-            proposals[i] = self.merge(spelled[i])
-        return proposals, len(failing)
+        if not len(failing):
+            return counts, tokens, 0
+        symbol = self.inner[np.where(flat == STOP, 0, flat)]
+        symbol[end - 2] = self.final[flat[end - 2]]
+        merged: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        short = failing[sizes[failing] <= LONG]
+        if len(short):
+            taken = np.repeat(start[short], sizes[short]) + np.arange(sizes[short].sum()) - np.repeat(np.cumsum(sizes[short]) - sizes[short], sizes[short])
+            merged.append((short, *self.merge_all(symbol[taken], sizes[short])))
+        for i in failing[sizes[failing] > LONG].tolist():
+            ids = np.array(self.merge("".join([self.letter[b] for b in data[offsets[i] : offsets[i + 1]].tolist()]) + END), dtype=np.int64)
+            merged.append((np.array([i]), np.array([len(ids)]), ids))
+        kept = ~bad[word]
+        words_ = np.concatenate([word[kept], *[np.repeat(w, c) for w, c, _ in merged]])
+        tokens = np.concatenate([tokens[kept], *[t for _, _, t in merged]])
+        return np.bincount(words_, minlength=len(words)), tokens[np.argsort(words_, kind="stable")], len(failing)
+
+    def encode_words(self, words: list[str]) -> tuple[list[list[int]], int]:
+        """Ids per word, and how many words needed exact merging."""
+        counts, tokens, failed = self.encode_flat(words)
+        ends = np.cumsum(counts).tolist()
+        return [tokens[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends, strict=True)], failed
 
 
-BEYOND_LATIN = "\u0250"
+FAR = regex.compile(r"[\u0250-\U0010ffff]")
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
 
 class WordEncoder:
-    """Ids of pieces of text; the words inside them are kept too, as pieces share them.
+    """Texts as words, and the ids of words.
 
-    Pieces of Latin letters are put in lower case and split here. Beyond them tables of
-    characters differ between releases of the standard, so others are normalised and
-    split by the tokenizer the vocabulary file describes.
+    Texts of Latin letters are put in lower case and split here. Beyond them tables of
+    characters differ between releases of the standard, so the pieces between spaces that
+    have such are normalised and split by the tokenizer the vocabulary file describes.
+    A special mark is a word of its own, told from others by a space before it.
     """
 
-    WORDS = 100_000
-
     def __init__(self, path: str):
         self.table = MergeTable(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, list[int]] = {}
         self.proposed = self.failed = 0
         special = sorted(self.table.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
 
     def _split(self, text: str) -> list[str]:
-        if text.isascii() or max(text) < BEYOND_LATIN:
+        if text.isascii() or not FAR.search(text):
             return SPLIT.findall(text.lower())
+        if " " in text:
+            return [w for piece in text.split(" ") for w in self._split(piece)]
         text = self.tokenizer.normalizer.normalize_str(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _parts(self, piece: str) -> list[tuple[str, int | None]]:
-        if not any(mark in piece for mark in self.table.special):
-            return [(w, None) for w in self._split(piece)]
-        parts: list[tuple[str, int | None]] = []
-        for part in self.special.split(piece):
-            if part in self.table.special:
-                parts.append((part, self.table.special[part]))
-            else:
-                parts += [(w, None) for w in self._split(part)]
-        return parts
-
-    def __call__(self, pieces: list[str]) -> list[list[int]]:
-        parts = [self._parts(p) for p in pieces]
-        wanted = {w for ps in parts for w, known in ps if known is None}
-        if len(self.words) + len(wanted) > self.WORDS:
-            self.words = {}
-        new = [w for w in wanted if w not in self.words]
-        if new:
-            encoded, failed = self.table.encode_words(new)
-            self.words.update(zip(new, encoded, strict=True))
-            self.proposed += len(new)
-            self.failed += failed
-        return [[i for w, known in ps for i in ((known,) if known is not None else self.words[w])] for ps in parts]
+    def words(self, text: str) -> list[str]:
+        if not any([mark in text for mark in self.table.special]):
+            return self._split(text)
+        parts = self.special.split(text)  # marks have odd places
+        return [w for k, part in enumerate(parts) for w in ([f" {part}"] if k % 2 else self._split(part))]
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and the ids."""
+        marks = [k for k, w in enumerate(words) if w[:1] == " "]
+        sizes, ids, failed = self.table.encode_flat([w for w in words if w[:1] != " "] if marks else words)
+        self.proposed += len(words)
+        self.failed += failed
+        if marks:
+            own = [self.table.special[words[k][1:]] for k in marks]
+            before = np.array(marks) - np.arange(len(marks))  # other words before each mark
+            ids = np.insert(ids, np.append(0, np.cumsum(sizes))[before], own)
+            sizes = np.insert(sizes, before, 1)
+        return sizes, ids
 
 
 @lru_cache(maxsize=2)

@@ -17,6 +17,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,12 +60,17 @@ def _cache(path: str) -> PieceCache:
     marks = tuple(t.content for t in _tokenizer(path).get_added_tokens_decoder().values())
 
     def open_ends(piece: str) -> tuple[bool, bool]:
-        """A space between white space, or between it and a mark, belongs to a longer run of white space."""
+        """A piece begins at a lone space; a space between white space, or between it and a mark, belongs to a longer run."""
         if piece[:1] == PLAIN:
             return False, piece[-1:].isspace()
         return not piece or piece[0].isspace() or piece.startswith(marks), not piece or piece[-1].isspace()
 
-    return PieceCache(lambda pieces: _encode(path, [p[1:] if p[:1] == PLAIN else " " + p for p in pieces]), open_ends, times=5)
+    def flat(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = _encode(path, [p[1:] if p[:1] == PLAIN else " " + p for p in pieces])
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return sizes, np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
+
+    return PieceCache(flat, open_ends, times=5)
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
