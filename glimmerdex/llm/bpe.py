@@ -30,7 +30,7 @@ VOCABULARY = "word_bpe_49k.json"
 
 @lru_cache(maxsize=2)
 def _cache(path: str) -> PieceCache:
-    return PieceCache(word_encoder(path))
+    return PieceCache(lambda words: (*word_encoder(path)(words), False, False))
 
 
 @lru_cache(maxsize=2)

@@ -41,16 +41,13 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
 class PieceCache:
     """Ids per piece, flat in one growing array.
 
-    `encode` gives how many ids each new piece has, and the ids. `open_ends` tells of a piece whether its begin and its end could grow together with
-    white space beside it; documents in which two open ends meet are reported. The
-    cache holds `times` times the usual number of pieces.
+    `encode` gives of new pieces how many ids each has, the ids, and whether its begin and
+    its end could grow together with white space beside it; documents in which two such
+    ends meet are reported. The cache holds `times` times the usual number of pieces.
     """
 
-    def __init__(
-        self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], open_ends: Callable[[str], tuple[bool, bool]] | None = None,
-        times: int = 1,
-    ):
-        self.encode, self.open_ends, self.times = encode, open_ends, times
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray, list[bool] | bool, list[bool] | bool]], times: int = 1):
+        self.encode, self.times = encode, times
         self._empty()
 
     def _empty(self) -> None:
@@ -91,17 +88,26 @@ class PieceCache:
         return at, to
 
     def _add(self, pieces: list[str]) -> None:
-        at, to = self._store(*self.encode(pieces))
-        if self.open_ends:
-            edges = np.array([self.open_ends(p) for p in pieces], dtype=bool).reshape(-1, 2)
-            self.begins[at:to], self.ends[at:to] = edges[:, 0], edges[:, 1]
+        sizes, ids, begins, ends = self.encode(pieces)
+        at, to = self._store(sizes, ids)
+        self.begins[at:to], self.ends[at:to] = begins, ends
 
     def look_up(self, documents: list[list[str]]) -> tuple[list[np.ndarray], list[int]]:
         """The ids of each document, given as its pieces in order, and the documents in which open ends meet."""
         counts = np.cumsum([0] + [len(d) for d in documents])
+        self._make_room()
+        return self._found(np.fromiter(map(self.code.__getitem__, chain.from_iterable(documents)), dtype=np.int64, count=int(counts[-1])), counts)
+
+    def look_up_encoded(self, pieces: list[str], at: np.ndarray, counts: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+        """The same for documents given by the distinct pieces, the place of every piece among them, and where documents begin."""
+        self._make_room()
+        return self._found(np.fromiter(map(self.code.__getitem__, pieces), dtype=np.int64, count=len(pieces))[at], counts)
+
+    def _make_room(self) -> None:
         if self.pieces > self.times * CACHE_PIECES or self.used > self.times * CACHE_IDS:
             self._shrink()
-        codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(documents)), dtype=np.int64, count=int(counts[-1]))
+
+    def _found(self, codes: np.ndarray, counts: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
         missing, self.code.new = self.code.new, []
         if missing:
             self._add(missing)

@@ -21,12 +21,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glimmerdex.llm.chunks import DOCUMENTS_AT_ONCE, PieceCache, in_groups
+from glimmerdex.llm.chunks import PieceCache
 from glimmerdex.llm.registry import in_small_batches, pick, query, table, take_over
 from glimmerdex.plans.sizing import broadcast_if_small, scratch_path
 
@@ -40,6 +41,8 @@ ORC = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
 }
+TEXTS_AT_ONCE = 2048
+PIECES_AT_ONCE = 512
 PLAIN = "\0"  # begins a piece that no space stands before
 
 
@@ -56,38 +59,76 @@ def _encode(path: str, texts: list[str]) -> list[list[int]]:
 
 
 @lru_cache(maxsize=2)
-def _cache(path: str) -> PieceCache:
-    marks = tuple(t.content for t in _tokenizer(path).get_added_tokens_decoder().values())
+def _marks(path: str) -> tuple[str, ...]:
+    return tuple(t.content for t in _tokenizer(path).get_added_tokens_decoder().values())
 
-    def open_ends(piece: str) -> tuple[bool, bool]:
-        """A piece begins at a lone space; a space between white space, or between it and a mark, belongs to a longer run."""
-        if piece[:1] == PLAIN:
-            return False, piece[-1:].isspace()
-        return not piece or piece[0].isspace() or piece.startswith(marks), not piece or piece[-1].isspace()
 
-    def flat(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = _encode(path, [p[1:] if p[:1] == PLAIN else " " + p for p in pieces])
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        return sizes, np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
+@lru_cache(maxsize=2)
+def _bytes_of(path: str) -> np.ndarray:
+    """How many bytes of text each token stands for: every character of a token is a byte, those of a mark are its own."""
+    tokenizer = _tokenizer(path)
+    size = np.zeros(tokenizer.get_vocab_size(), dtype=np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        size[i] = len(token)
+    for i, mark in tokenizer.get_added_tokens_decoder().items():
+        size[i] = len(mark.content.encode("utf-8"))
+    return size
+
+
+def _open_ends(path: str, pieces: list[str]) -> tuple[list[bool], list[bool]]:
+    """A piece begins at a lone space; a space between white space, or between it and a mark, belongs to a longer run."""
+    marks = _marks(path)
+    begins = [not p or (p[0] != PLAIN and (p[0].isspace() or p.startswith(marks))) for p in pieces]
+    return begins, [not p or p[-1].isspace() for p in pieces]
+
+
+def _encode_pieces(path: str, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool], list[bool]]:
+    """How many ids each piece has, the ids, and which begins and ends are open. Pieces that nothing beside them changes go to the library many in one text,
+    and the bytes their tokens stand for tell where each one ends."""
+    begins, ends = _open_ends(path, pieces)
+    plain = [p[:1] == PLAIN for p in pieces]
+    alone = [k for k, (a, b, c) in enumerate(zip(begins, ends, plain, strict=True)) if a or b or c]
+    together = [k for k, (a, b, c) in enumerate(zip(begins, ends, plain, strict=True)) if not (a or b or c)]
+    sizes = np.zeros(len(pieces), dtype=np.int64)
+    found = _encode(path, [pieces[k][1:] if plain[k] else " " + pieces[k] for k in alone])
+    sizes[alone] = [len(i) for i in found]
+    texts, cuts = [], [0]
+    for at in range(0, len(together), PIECES_AT_ONCE):
+        some = [pieces[k] for k in together[at : at + PIECES_AT_ONCE]]
+        texts.append(" " + " ".join(some))
+        cuts += [len(p) + 1 if p.isascii() else len(p.encode("utf-8")) + 1 for p in some]
+    joined = np.fromiter(chain.from_iterable(_encode(path, texts)), dtype=np.uint32)
+    at = np.searchsorted(np.cumsum(_bytes_of(path)[joined]), np.cumsum(cuts), "right")
+    sizes[together] = np.diff(at)
+    place = np.cumsum(sizes) - sizes
+    flat = np.empty(int(sizes.sum()), dtype=np.uint32)
+    mine = np.repeat(place[together] - at[:-1], sizes[together]) + np.arange(len(joined))
+    flat[mine] = joined
+    for k, ids in zip(alone, found, strict=True):
+        flat[place[k] : place[k] + len(ids)] = ids
+    return sizes, flat, begins, ends
 
-    return PieceCache(flat, open_ends, times=5)
 
+@lru_cache(maxsize=2)
+def _cache(path: str) -> PieceCache:
+    return PieceCache(lambda pieces: _encode_pieces(path, pieces), times=5)
 
-def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
+
+def encode_texts(texts: list[str | None] | pa.Array, path: str) -> list[np.ndarray]:
     """Ids per text, as the library encodes the whole text.
 
     Texts are cut at spaces; those where a cut would change tokens are encoded whole."""
     cache, out = _cache(path), []
-
-    def pieces(text: str) -> list[str]:
-        parts = text.split(" ")
-        parts[0] = PLAIN + parts[0]
-        return parts
-
-    for group in in_groups([t or "" for t in texts], DOCUMENTS_AT_ONCE):
-        ids, unsafe = cache.look_up([[] if PLAIN in t else pieces(t) for t in group])
-        whole = sorted({*unsafe, *(i for i, t in enumerate(group) if PLAIN in t)})
-        for i, found in zip(whole, _encode(path, [group[i] for i in whole]), strict=True):
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        group = pc.fill_null(texts.slice(at, TEXTS_AT_ONCE), "")
+        odd = pc.match_substring(group, PLAIN).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.binary_join_element_wise(PLAIN, pc.if_else(pa.array(odd), "", group), ""), " ")
+        pieces = cut.flatten().dictionary_encode()
+        counts = np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy()))
+        ids, unsafe = cache.look_up_encoded(pieces.dictionary.to_pylist(), pieces.indices.to_numpy(), counts)
+        whole = sorted({*unsafe, *np.flatnonzero(odd).tolist()})
+        for i, found in zip(whole, _encode(path, [group[i].as_py() for i in whole]), strict=True):
             ids[i] = np.array(found, dtype=np.uint32)
         out += ids
     return out
@@ -95,7 +136,7 @@ def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
 
 def release() -> None:
     """Free the tokenizer and the cache of this process."""
-    for kept in (_cache, _tokenizer):
+    for kept in (_cache, _bytes_of, _marks, _tokenizer):
         kept.cache_clear()
 
 
@@ -108,9 +149,9 @@ def write_tokens(
         take_over("token_file", release)
         part, written = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
-                rows = batch.slice(at, DOCUMENTS_AT_ONCE)
-                ids = [np.append(i, np.uint32(end_id)) for i in encode_texts(rows.column(1).to_pylist(), path)]
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                rows = batch.slice(at, TEXTS_AT_ONCE)
+                ids = [np.append(i, np.uint32(end_id)) for i in encode_texts(rows.column(1), path)]
                 ends = np.cumsum([len(i) for i in ids], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
