@@ -38,7 +38,7 @@ SUBSTITUTED = 2
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 8, 9))
 LEAST = 5
 BLOCK_BYTES = 16 << 20
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 BASE = np.uint64(0x100000001B3)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
