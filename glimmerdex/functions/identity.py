@@ -17,12 +17,13 @@ def percent_encode(col: Column) -> Column:
 
 
 def document_uri(
-    doc_id: Column, uri: Column, url: Column, index: str, base_uri: str = DEFAULT_BASE_URI
+    doc_id: Column, uri: Column, url: Column, index: str | Column, base_uri: str = DEFAULT_BASE_URI
 ) -> Column:
-    """The given web address, else one made from base, index and id; no trailing slash."""
+    """The given web address, else one made from base, index (a name, or a column of names) and id; no trailing slash."""
     given = F.coalesce(F.nullif(uri, F.lit("")), F.nullif(url, F.lit("")))
     is_web = given.startswith("http://") | given.startswith("https://")
-    made = F.concat(F.lit(f"{base_uri}/{index}/"), percent_encode(doc_id))
+    folder = F.concat(F.lit(f"{base_uri}/"), index, F.lit("/")) if isinstance(index, Column) else F.lit(f"{base_uri}/{index}/")
+    made = F.concat(folder, percent_encode(doc_id))
     return F.rtrim(F.when(is_web, given).otherwise(made), F.lit("/"))
 
 

@@ -44,7 +44,7 @@ def description_of(description: Column, text: Column) -> Column:
 
 def build_documents(
     source: DataFrame,
-    index: str,
+    index: str | Column,
     id_col: str = "id",
     text_col: str = "text",
     metadata_cols: list[str] | None = None,

@@ -18,10 +18,24 @@ def get_by_ids(documents: DataFrame, requests: DataFrame) -> DataFrame:
 
     An id is a document key or an original id; the key match wins, then the first
     document with that original id. Missing ids give no row, repeated ids repeat.
-    Ids are resolved on the two id columns alone; whole documents are read for the keys
-    found.
+
+    Few ids are broadcast and the documents are read once. Many meet the two id columns
+    alone in a join; whole documents are read for the keys found.
     """
     wanted = requests.select("id").distinct()
+    small = is_small(requests)
+    order = [F.col("_choice"), F.col("doc_key")]
+    if small:
+        asked = F.broadcast(wanted.filter("id IS NOT NULL"))
+        by_key, by_name = (asked.select(F.col("id").alias(name)) for name in ("_key", "_name"))
+        hit = documents.join(by_key, F.col("doc_key") == F.col("_key"), "left").join(by_name, F.col("ext_id") == F.col("_name"), "left")
+        ways = F.array(F.struct(F.col("_key").alias("id"), F.lit(0).alias("choice")), F.struct(F.col("_name").alias("id"), F.lit(1).alias("choice")))
+        way = F.explode(F.filter(ways, lambda w: w["id"].isNotNull())).alias("_way")
+        found = hit.filter("_key IS NOT NULL OR _name IS NOT NULL").select(*documents.columns, way).select(
+            *documents.columns, F.col("_way.id").alias("id"), F.col("_way.choice").alias("_choice")
+        )
+        best = top_k(found, 1, by=("id",), order=order, rank="_rank")
+        return best.join(F.broadcast(requests), "id").select("id", "pos", *documents.columns).orderBy("pos")
     names = F.explode(
         F.array(
             F.struct(F.col("doc_key").alias("id"), F.lit(0).alias("choice")),
@@ -32,12 +46,12 @@ def get_by_ids(documents: DataFrame, requests: DataFrame) -> DataFrame:
         "doc_key", F.col("_name.id").alias("id"), F.col("_name.choice").alias("_choice")
     )
     matches = keyed_join(named, wanted, ["id"], "doc_key")
-    order = [F.col("_choice"), F.col("doc_key")]
     found = top_k(matches, 1, by=("id",), order=order, rank="_rank").select("id", "doc_key")
     resolved = written(keyed_join(requests, found, ["id"], "pos"), "resolved")
-    small = is_small(resolved)
-    whole = documents.join(F.broadcast(resolved), "doc_key") if small else keyed_join(resolved, documents, ["doc_key"], "pos", small=False)
-    return whole.select("id", "pos", *documents.columns).orderBy("pos")
+    # Few requests share a document: each meets the whole documents once, none of which is repeated.
+    keys = resolved.select("doc_key").distinct()
+    whole = documents.join(F.broadcast(keys) if is_small(keys) else keys, "doc_key")
+    return resolved.join(whole, "doc_key").select("id", "pos", *documents.columns).orderBy("pos")
 
 
 def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from glimmerdex.plans import inputs as I
 from glimmerdex.plans.inputs import query
 from glimmerdex.plans.sizing import scratch_path, spread
 from glimmerdex.sources.corpus import DROPPED_ELEMENTS, corpus_scan as scan, page_source, unescape
-from glimmerdex.sources.index_store import IndexStore, describe_indexes
+from glimmerdex.sources.index_store import IndexStore, describe_indexes, publish_each
 from glimmerdex.streaming import ingest
 
 BASE = "https://corpus.example.org"
@@ -361,11 +361,8 @@ def index_list(spark, sf):
     root = scratch_path(spark, "indexes")
     vecs = I.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     source = I.table(spark, sf, "documents").join(vecs, "doc_id", "left")
-    for row in source.select("lang").distinct().collect():
-        part = source.filter(F.col("lang") == row["lang"])
-        IndexStore(spark, root, row["lang"]).replace(
-            build_documents(part, row["lang"], "doc_id", "text", I.METADATA, embedding_col="embedding")
-        )
+    documents = build_documents(source, F.col("lang"), "doc_id", "text", I.METADATA, embedding_col="embedding", promote=("lang",))
+    publish_each(documents, root, "lang")
     return describe_indexes(spark, root)
 
 

@@ -1,15 +1,17 @@
-"""Where an index is kept: parquet segments listed by a manifest.
+"""Where an index is kept: parquet segments listed by a committed state.
 
-    <root>/<index>/manifest/<segment>/<writing>    one row: index, position, kind, path, …
+    <root>/<index>/log/<version>.json              the state, one file per version (see `manifest`)
     <root>/<index>/segments/<segment>/<writing>    the rows
+    <root>/<index>/sketches/<writing>              which of its files may hold a key (see `sketches`)
     <root>/<index>/jobs/<job>                      one row per ingest job
 
-A base segment replaces the segments it names; upserts and removals are small segments
-beside it. Every writing has a folder of its own, so nothing that is being read is ever
-overwritten: a segment becomes visible when its manifest row is written, and of several
-writings of one segment, as a replayed batch makes them, the latest counts. A base names
-the writings it was made from. What another writer adds meanwhile is not among them and
-stays.
+The first segment is the base; upserts and removals are small segments after it, and the
+last one counts for each key. Every writing has a folder of its own, so nothing that is
+being read is ever overwritten: rows are written first and count once a version of the
+state lists them. Writers do not wait for each other: a change is worked out from one
+version and made on the newest one, where it is checked again. An upsert always holds; a
+removal by id or predicate is worked out anew when segments were added meanwhile; a
+compaction gives way to whatever changed the segments it has read.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from glimmerdex.operators import lexical, upsert
@@ -25,12 +27,30 @@ from glimmerdex.operators.documents import INDEX_SCHEMA, empty_index
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.lexical import LexicalIndex
 from glimmerdex.plans.sizing import broadcast_if_small, keyed_join
+from glimmerdex.sources import manifest, sketches
+from glimmerdex.sources.commits import CommitLog, Conflict, Folder
 
-MANIFEST_SCHEMA = (
-    "index string, segment string, position long, kind string, path string, writing long, folds array<string>"
-)
 ROWS_PER_FILE = 100_000
+SKETCH_ROWS = 10_000  # smaller segments are opened without asking
+NAMES_ASKED = 1_000  # look-ups of more names scan the index
+TRIES = 20
 REMOVAL_SCHEMA = "doc_key string, ingest_seq long"
+_WRITING = "([0-9a-f]{32})/[^/]+$"  # of a data file's path, the writing it belongs to
+
+
+def conform(documents: DataFrame, keep: dict[str, Column] | None = None) -> DataFrame:
+    """Columns and types of the index, after those to keep; missing ones are null."""
+    have = set(documents.columns)
+    return documents.select(
+        *[c.alias(name) for name, c in (keep or {}).items()],
+        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in INDEX_SCHEMA.fields],
+    )
+
+
+def segments_at(spark: SparkSession, folder: str) -> list[dict]:
+    """The segments of the index in a folder, none if there is no index."""
+    _, state = CommitLog(Folder(spark, f"{folder}/log")).latest()
+    return state["segments"] if state else []
 
 
 class IndexStore:
@@ -39,62 +59,57 @@ class IndexStore:
         self.root = root.rstrip("/")
         self.index = index
         self.folder = f"{self.root}/{index}"
+        self.log = CommitLog(Folder(spark, f"{self.folder}/log"))
 
-    # -- manifest ---------------------------------------------------------
+    # -- segments ---------------------------------------------------------
 
-    def manifest(self) -> list:
-        """Visible segments in order, the latest writing of each; their number is kept small by `compact`."""
-        try:
-            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.folder}/manifest/*/*").collect()
-            latest = {r["segment"]: r for r in sorted(rows, key=lambda r: r["writing"])}
-            return sorted(latest.values(), key=lambda r: r["position"])
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
+    def manifest(self) -> list[dict]:
+        """The segments in order; their number is kept small by `compact`."""
+        return segments_at(self.spark, self.folder)
 
     def exists(self) -> bool:
         return bool(self.manifest())
 
-    def _announce(self, segment: str, position: int, kind: str, path: str, writing: int, folds: list[str]) -> None:
-        row = [(self.index, segment, position, kind, path, writing, folds)]
-        entry = self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1)
-        entry.write.json(f"{self.folder}/manifest/{segment}/{path.rsplit('/', 1)[1]}")
-
-    def _write(
-        self, rows: DataFrame, kind: str, segment: str | None, visible: bool, at_most: int | None = None,
-        folds: list | None = None,
-    ) -> dict:
-        """Write a segment. A named segment may be written again, as a replayed batch does.
+    def _write(self, rows: DataFrame, kind: str, segment: str | None = None, at_most: int | None = None, origin: str | None = None) -> dict:
+        """Write the rows of a segment, which no state lists yet.
 
-        A known greatest number of rows keeps small segments in few files.
+        A known greatest number of rows keeps small segments in few files. Rows and vectors are counted on the way.
         """
         if at_most is not None:
             rows = rows.coalesce(1 + at_most // ROWS_PER_FILE)
-        known = self.manifest()
-        segment = segment or f"{kind}-{uuid.uuid4().hex}"
-        again = next((r for r in known if r["segment"] == segment), None)
-        position = again["position"] if again else max([r["position"] for r in known], default=-1) + 1
-        path = f"{self.folder}/segments/{segment}/{uuid.uuid4().hex}"
-        rows.withColumn("ingest_seq", F.lit(position).cast("long")).write.parquet(path)
-        replaced = [r["path"] for r in (known if folds is None else folds)] if kind == "base" else []
-        pending = {
-            "segment": segment, "position": position, "kind": kind, "path": path,
-            "writing": again["writing"] + 1 if again else 0, "folds": replaced,
-        }
-        if visible:
-            self._announce(**pending)
-        return pending
+        name, writing = segment or f"{kind}-{uuid.uuid4().hex}", uuid.uuid4().hex
+        path = f"{self.folder}/segments/{name}/{writing}"
+        seen, vectors = Observation(), F.count("embedding" if "embedding" in rows.columns else F.lit(None))
+        rows.observe(seen, F.count(F.lit(1)).alias("rows"), vectors.alias("vectors")).write.parquet(path)
+        entry = {"segment": name, "named": segment is not None, "origin": origin, "kind": kind, "path": path}
+        entry |= {"rows": seen.get["rows"], "vectors": seen.get["vectors"]}
+        if kind != "removal" and entry["rows"] >= SKETCH_ROWS:
+            sketch = f"{self.folder}/sketches/{writing}"
+            entry |= {"sketch": sketch, "bits": sketches.write(self.spark, path, sketch)}
+        return entry
 
     def make_visible(self, pending: dict) -> None:
-        """Show a segment that was written with visible=False."""
-        self._announce(**pending)
+        """Commit a change that was written with visible=False. Raises Conflict if it no longer holds."""
+        entry, change, paths = pending["entry"], pending["change"], pending.get("paths")
+        made = {
+            "added": lambda state: manifest.added(state, entry),
+            "replaced": lambda state: manifest.replaced(state, entry),
+            "compacted": lambda state: manifest.compacted(state, entry, paths),
+        }[change]
+        self.log.commit(made)
+
+    def _pending(self, entry: dict, change: str, visible: bool, paths: list[str] | None = None) -> dict:
+        pending = {"entry": entry, "change": change, "paths": paths}
+        if visible:
+            self.make_visible(pending)
+        return pending
 
     # -- content ----------------------------------------------------------
 
     def create(self) -> IndexStore:
         if not self.exists():
-            self._write(empty_index(self.spark), "base", None, True)
+            entry = self._write(empty_index(self.spark), "base")
+            self.log.commit(lambda state: state or manifest.replaced(state, entry))
         return self
 
     def require(self, create_if_missing: bool = False) -> IndexStore:
@@ -106,17 +121,21 @@ class IndexStore:
 
     def replace(self, documents: DataFrame, visible: bool = True) -> dict:
         """Publish a whole new content; `documents` has one row per key."""
-        return self._write(self._conform(documents), "base", None, visible)
+        return self._pending(self._write(conform(documents), "base"), "replaced", visible)
 
     def upsert(
-        self, documents: DataFrame, segment: str | None = None, visible: bool = True, at_most: int | None = None
+        self, documents: DataFrame, segment: str | None = None, visible: bool = True, at_most: int | None = None, origin: str | None = None
     ) -> dict:
-        """Add or replace documents; only the given ones are written."""
-        return self._write(upsert.latest(self._conform(documents)), "upsert", segment, visible, at_most)
+        """Add or replace documents; only the given ones are written. A named segment may be written again, as
+        a replayed batch does; `origin` tells series of the same name apart."""
+        entry = self._write(upsert.latest(conform(documents)), "upsert", segment, at_most, origin)
+        return self._pending(entry, "added", visible)
 
     def remove(self, keys: DataFrame) -> dict:
-        rows = keys.select("doc_key", F.lit(0).cast("long").alias("ingest_seq"))
-        return self._write(rows, "removal", None, True)
+        return self._pending(self._removal(keys), "added", True)
+
+    def _removal(self, keys: DataFrame) -> dict:
+        return self._write(keys.select("doc_key", F.lit(0).cast("long").alias("ingest_seq")), "removal")
 
     def delete(self, ids: DataFrame | None = None, query=None, delete_all: bool = False) -> None:
         """Remove by ids, by predicate, or everything; only keys are written."""
@@ -126,19 +145,50 @@ class IndexStore:
                 raise ValueError("give ids, a query, or delete_all=True")
             self.replace(empty_index(self.spark))
             return
-        now = self.read()
-        if by_query:
-            gone = now.filter(F.coalesce(to_column(query), F.lit(False)))
-        else:
-            listed = ids.select(F.col("id").cast("string").alias("_id")).distinct()
-            names = F.explode(F.array_distinct(F.array("doc_key", "ext_id"))).alias("_id")
-            gone = keyed_join(now.select("doc_key", names), listed, ["_id"], "doc_key", "left_semi").select("doc_key").distinct()
-        self.remove(gone)
-
-    def compact(self) -> None:
-        """Fold all segments into a new base; what is added meanwhile is kept beside it."""
+        for _ in range(TRIES):
+            entries = self._entries()
+            paths = [e["path"] for e in entries]
+            entry = self._removal(self._matching(entries, ids, query if by_query else None))
+            try:
+                self.log.commit(lambda state: manifest.unchanged_since(state, paths) or manifest.added(state, entry))  # noqa: B023
+                return
+            except Conflict:
+                continue
+        raise Conflict(f"segments were added during each of {TRIES} tries")
+
+    def _matching(self, entries: list[dict], ids: DataFrame | None, query) -> DataFrame:
+        """The keys of documents that are listed or fulfil the predicate."""
+        if query is not None:
+            return self._content(entries).filter(F.coalesce(to_column(query), F.lit(False))).select("doc_key")
+        listed = ids.select(F.col("id").cast("string").alias("_id")).distinct()
+        few = [r["_id"] for r in listed.limit(NAMES_ASKED + 1).collect()]
+        now = self._holding(entries, [n for n in few if n is not None]) if len(few) <= NAMES_ASKED else self._content(entries)
+        names = F.explode(F.array_distinct(F.array("doc_key", "ext_id"))).alias("_id")
+        return keyed_join(now.select("doc_key", names), listed, ["_id"], "doc_key", "left_semi").select("doc_key").distinct()
+
+    def compact(self) -> bool:
+        """Fold all segments into a new base; what is added meanwhile is kept beside it. False if others changed
+        the folded segments each time, as another compaction does."""
+        for _ in range(TRIES):
+            try:
+                self.make_visible(self.prepare_compaction())
+                return True
+            except Conflict:
+                if len(self.manifest()) == 1:  # someone else has folded them
+                    return False
+        return False
+
+    def prepare_compaction(self) -> dict:
+        """The base that folds all segments of now, for `make_visible`."""
         entries = self.manifest()
-        self._write(self._conform(self._content(entries)), "base", None, True, folds=entries)
+        entry = self._write(conform(self._content(entries)), "base")
+        return self._pending(entry, "compacted", False, [e["path"] for e in entries])
+
+    def _entries(self) -> list[dict]:
+        entries = self.manifest()
+        if not entries:
+            raise ValueError(f"index {self.index!r} does not exist")
+        return entries
 
     def read(self) -> DataFrame:
         """The current documents, one row per key.
@@ -146,43 +196,67 @@ class IndexStore:
         Base rows are not shuffled: they leave by an anti join against the keys
         of later segments, broadcast when their measured size allows.
         """
-        entries = self.manifest()
-        if not entries:
-            raise ValueError(f"index {self.index!r} does not exist")
-        return self._content(entries)
-
-    def _content(self, entries: list) -> DataFrame:
-        folded = {path for r in entries for path in r["folds"] or []}
-        live = [r for r in entries if r["path"] not in folded]
-        bases = [r for r in live if r["kind"] == "base"]
-        # Of bases made at the same time the last one counts, with what neither of them folds.
-        later = [r for r in live if r["kind"] != "base"]
-        base = empty_index(self.spark) if not bases else self._documents([bases[-1]["path"]])
+        return self._content(self._entries())
+
+    def read_holding(self, names: list[str]) -> DataFrame:
+        """Of the current documents at least those whose key or original id is among the names.
+
+        Only files that may hold one of them are opened. Up to NAMES_ASKED names, more scan the index."""
+        entries, names = self._entries(), sorted({n for n in names if n is not None})
+        return self._holding(entries, names) if len(names) <= NAMES_ASKED else self._content(entries)
+
+    def _holding(self, entries: list[dict], names: list[str]) -> DataFrame:
+        """A document found by an original id may have been replaced by one with another, so the second look is for its key."""
+        if not any("sketch" in e for e in entries):
+            return self._content(entries)
+        if not names:
+            return empty_index(self.spark)
+        old = self._documents(entries, self._files(entries, names, False))
+        listed = F.broadcast(self.spark.createDataFrame([(n,) for n in names], "_id string"))
+        by_name = old.select("doc_key", F.explode(F.array("doc_key", "ext_id")).alias("_id")).join(listed, "_id", "left_semi")
+        keys = [r["doc_key"] for r in by_name.select("doc_key").distinct().limit(NAMES_ASKED + 1).collect()]
+        if len(keys) > NAMES_ASKED:
+            return self._content(entries)
+        return self._content(entries, self._files(entries, sorted({*keys, *names}), True))
+
+    def _files(self, entries: list[dict], names: list[str], keys_only: bool) -> dict[str, list[str]]:
+        """Per sketched segment the files that may hold a name."""
+        known = {e["path"]: (e["sketch"], e["bits"]) for e in entries if "sketch" in e}
+        chosen: dict[str, list[str]] = {path: [] for path in known}
+        for path, file in sketches.holding(self.spark, known, names, keys_only):
+            chosen[path].append(f"{path}/{file}")
+        return chosen
+
+    def _content(self, entries: list[dict], chosen: dict[str, list[str]] | None = None) -> DataFrame:
+        """The rows that count, from all files or of some segments from chosen ones."""
+        base, later = self._documents(entries[:1], chosen), entries[1:]
+        upserts, gone_paths = [e for e in later if e["kind"] == "upsert"], [e["path"] for e in later if e["kind"] == "removal"]
         if not later:
             return base
-        changed = self._documents([r["path"] for r in later if r["kind"] == "upsert"]).withColumn("_gone", F.lit(False))
-        gone_paths = [r["path"] for r in later if r["kind"] == "removal"]
+        changed = self._documents(upserts, chosen).withColumn("_gone", F.lit(False))
         if gone_paths:
-            gone = self.spark.read.schema(REMOVAL_SCHEMA).parquet(*gone_paths).withColumn("_gone", F.lit(True))
+            gone = self._placed(self.spark.read.schema(REMOVAL_SCHEMA).parquet(*gone_paths), later).withColumn("_gone", F.lit(True))
             changed = changed.unionByName(gone, allowMissingColumns=True)
         keys = broadcast_if_small(changed.select("doc_key").distinct())
         newest = upsert.latest(changed).filter(~F.col("_gone")).drop("_gone")
         return base.join(keys, "doc_key", "left_anti").unionByName(newest)
 
-    def _documents(self, paths: list[str]) -> DataFrame:
-        if not paths:
+    def _documents(self, entries: list[dict], chosen: dict[str, list[str]] | None = None) -> DataFrame:
+        entries = [e for e in entries if e["kind"] != "removal"]
+        files = [f for e in entries for f in (chosen or {}).get(e["path"], [e["path"]])]
+        if not files:
             return empty_index(self.spark)
-        return self.spark.read.schema(INDEX_SCHEMA).parquet(*paths)
-
-    def _conform(self, documents: DataFrame) -> DataFrame:
-        """Columns and types of the index; missing ones are null."""
-        have = set(documents.columns)
-        return documents.select(
-            *[
-                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in INDEX_SCHEMA.fields
-            ]
-        )
+        reader = self.spark.read.schema(INDEX_SCHEMA)
+        if chosen:  # single files beside whole folders
+            reader = reader.option("recursiveFileLookup", "true")
+        return self._placed(reader.parquet(*files), entries)
+
+    def _placed(self, rows: DataFrame, entries: list[dict]) -> DataFrame:
+        """ingest_seq is the position of the segment a row was read from."""
+        if len({e["position"] for e in entries}) == 1:
+            return rows.withColumn("ingest_seq", F.lit(entries[0]["position"]).cast("long"))
+        positions = F.create_map(*[F.lit(x) for e in entries for x in (e["path"][-32:], e["position"])])
+        return rows.withColumn("ingest_seq", F.element_at(positions, F.regexp_extract("_metadata.file_path", _WRITING, 1)).cast("long"))
 
     # -- jobs -------------------------------------------------------------
 
@@ -203,23 +277,51 @@ class IndexStore:
 
 
 def list_indexes(spark: SparkSession, root: str) -> list[str]:
-    try:
-        rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{root.rstrip('/')}/*/manifest/*/*")
-        return sorted(r["index"] for r in rows.select("index").distinct().collect())
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
+    """The names under a root, from its folders alone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/log")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(s.getPath().getParent().getName() for s in found or [])
 
 
 def describe_indexes(spark: SparkSession, root: str) -> DataFrame:
-    """(index, n_docs, n_vectors) for every index under the root, empty ones with zeros."""
-    names = list_indexes(spark, root)
-    rows = spark.createDataFrame([(name, None) for name in names], "index string, _v boolean")
-    for name in names:
-        stored = IndexStore(spark, root, name).read()
-        rows = rows.unionByName(stored.select(F.lit(name).alias("index"), F.col("embedding").isNotNull().alias("_v")))
-    return rows.groupBy("index").agg(F.count("_v").alias("n_docs"), F.count(F.when(F.col("_v"), 1)).alias("n_vectors"))
+    """(index, n_docs, n_vectors) for every index under the root, empty ones with zeros.
+
+    An index of one base is described by what was counted when it was written. The keys of all others are read in
+    one scan over their segments."""
+    root = root.rstrip("/")
+    states = {name: segments_at(spark, f"{root}/{name}") for name in list_indexes(spark, root)}
+    known = [(name, s[0]["rows"], s[0]["vectors"]) for name, s in states.items() if len(s) == 1]
+    described = spark.createDataFrame(known, "index string, n_docs long, n_vectors long")
+    open_ = [(e["path"][-32:], name, e["position"], e["kind"] == "removal", e["path"]) for name, s in states.items() if len(s) > 1 for e in s]
+    if not open_:
+        return described
+    places = spark.createDataFrame([e[:4] for e in open_], "writing string, index string, position long, gone boolean")
+    schema = "doc_key string, embedding array<float>"
+    keys = spark.read.schema(schema).parquet(*[e[4] for e in open_]).select(
+        "doc_key", F.col("embedding").isNotNull().alias("vector"), F.regexp_extract("_metadata.file_path", _WRITING, 1).alias("writing")
+    )
+    last = keys.join(F.broadcast(places), "writing").groupBy("index", "doc_key").agg(F.max(F.struct("position", "gone", "vector")).alias("last"))
+    counted = last.groupBy("index").agg(
+        F.count_if(~F.col("last.gone")).alias("n_docs"), F.count_if(~F.col("last.gone") & F.col("last.vector")).alias("n_vectors")
+    )
+    names = spark.createDataFrame([(name,) for name, s in states.items() if len(s) > 1], "index string")
+    counted = names.join(counted, "index", "left").select("index", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("n_vectors", F.lit(0)).alias("n_vectors"))
+    return described.unionByName(counted)
+
+
+def publish_each(documents: DataFrame, root: str, by: str) -> None:
+    """Replace the index of each value of a column, all by one write; rows without a value are left out.
+
+    The rows of a value lie in a folder of their own, which its index takes as the base."""
+    spark, root = documents.sparkSession, root.rstrip("/")
+    shared = f"{root}/_shared/{uuid.uuid4().hex}"
+    rows = conform(documents.filter(F.col(by).isNotNull()), keep={"_index": F.col(by).cast("string")})
+    rows.withColumn("part", F.md5("_index")).write.partitionBy("part").parquet(shared)
+    counts = spark.read.parquet(shared).groupBy("part", "_index").agg(F.count(F.lit(1)).alias("rows"), F.count("embedding").alias("vectors"))
+    for r in counts.toLocalIterator():  # one row and one small file per index
+        path = f"{shared}/part={r['part']}"
+        entry = {"segment": f"base-{uuid.uuid4().hex}", "kind": "base", "path": path, "rows": r["rows"], "vectors": r["vectors"]}
+        IndexStore(spark, root, r["_index"]).log.commit(lambda state: manifest.replaced(state, entry))  # noqa: B023
 
 
 def publish_lexical(

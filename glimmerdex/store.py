@@ -124,7 +124,8 @@ class SearchIndex:
         return self.store.read()
 
     def get_by_ids(self, ids: list[str]) -> DataFrame:
-        found = lookup.get_by_ids(self.documents(), lookup.request_table(self.spark, [str(i) for i in ids]))
+        ids = [str(i) for i in ids]
+        found = lookup.get_by_ids(self.store.read_holding(ids), lookup.request_table(self.spark, ids))
         return shaping.result_shape(found, self.text_field).select("pos", "doc_key", "page_content", "metadata").orderBy("pos")
 
     def queries(self, queries: Queries) -> DataFrame:
