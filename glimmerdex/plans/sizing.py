@@ -60,12 +60,16 @@ def keyed_join(
     """Rows meet a look-up side that has few rows per key.
 
     Within the measured bound the side is broadcast and the rows stay where they
-    are. Beyond it the join shuffles, with the rows of each key spread over salts
-    by another column and the side repeated per salt, so a key that holds much of
-    the rows is not one task's work.
+    are. Beyond it both are shuffled once, and adaptive execution splits the rows of a
+    key that holds much of them, so it is not one task's work. Only where that is switched
+    off are the rows of each key spread over salts by another column and the side
+    repeated per salt.
     """
     if is_small(side) if small is None else small:
         return rows.join(F.broadcast(side), on, how)
+    conf = rows.sparkSession.conf
+    if all(conf.get(key) == "true" for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")):
+        return rows.join(side, on, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
     repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

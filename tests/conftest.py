@@ -29,7 +29,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def shuffled_joins(monkeypatch):
-    """No table counts as small: every look-up takes the salted shuffle join."""
+    """No table counts as small: every look-up takes the shuffle join."""
     from glimmerdex.plans import sizing
 
     monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", -1)

@@ -107,3 +107,57 @@ def test_sizes_are_counted(spark):
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert sizing.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def shuffled_rows(df) -> int:
+    """Rows written by all shuffles of the executed plan, hot partitions found split."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return sum(found)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_large_look_up_sides_are_shuffled_once(spark, shuffled_joins, how):
+    """A third of the rows have one key; neither they nor the side are repeated for it."""
+    rows = spark.range(60_000).selectExpr("IF(id % 3 = 0, 7, id) AS key", "id AS row").repartition(8)
+    side = spark.range(50_000).selectExpr("id AS key", "id * 2 AS looked_up")
+    tight = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k, None) for k in tight}
+    for k, v in tight.items():
+        spark.conf.set(k, v)
+    try:
+        joined = sizing.keyed_join(rows, side, ["key"], "row", how)
+        assert shuffled_rows(joined) <= 60_000 + 60_000 + 1.2 * 50_000  # rows are dealt out once before
+        assert "skew=true" in plan_of(joined)
+        assert joined.count() == {"inner": 53_333, "left": 60_000, "left_semi": 53_333, "left_anti": 6_667}[how]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_salts_stand_in_for_adaptive_execution(spark, shuffled_joins):
+    rows, side = spark.range(1000).selectExpr("id % 10 AS key", "id AS row"), spark.range(9).selectExpr("id AS key", "id * 2 AS looked_up")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = sizing.keyed_join(rows, side, ["key"], "row", "left")
+        assert "_salt" in joined._jdf.queryExecution().toString()
+        assert joined.count() == 1000 and joined.filter("looked_up IS NULL").count() == 100
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
