@@ -41,7 +41,7 @@ ORC = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
 }
-TEXTS_AT_ONCE = 2048
+TEXTS_AT_ONCE = 1024
 PIECES_AT_ONCE = 512
 PLAIN = "\0"  # begins a piece that no space stands before
 
@@ -111,7 +111,7 @@ def _encode_pieces(path: str, pieces: list[str]) -> tuple[np.ndarray, np.ndarray
 
 @lru_cache(maxsize=2)
 def _cache(path: str) -> PieceCache:
-    return PieceCache(lambda pieces: _encode_pieces(path, pieces), times=5)
+    return PieceCache(lambda pieces: _encode_pieces(path, pieces), times=3)
 
 
 def encode_texts(texts: list[str | None] | pa.Array, path: str) -> list[np.ndarray]:
@@ -143,7 +143,7 @@ def release() -> None:
 def write_tokens(
     docs: DataFrame, folder: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
-    """Write doc_id, part, part_start and ids in ascending doc_id order to ORC files."""
+    """Write doc_id, part, part_start, n_tokens and ids in ascending doc_id order to ORC files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("token_file", release)
@@ -158,11 +158,12 @@ def write_tokens(
                         rows.column(0),
                         pa.array(np.full(len(ids), part, dtype=np.int32)),
                         pa.array(written + np.concatenate([[0], ends[:-1]])),
+                        pa.array(np.diff(ends, prepend=0)),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids).astype(np.int32))
                         ),
                     ],
-                    names=["doc_id", "part", "part_start", "ids"],
+                    names=["doc_id", "part", "part_start", "n_tokens", "ids"],
                 )
                 written += int(ends[-1])
 
@@ -172,7 +173,7 @@ def write_tokens(
     coded = (
         rows.repartitionByRange(*order[:2])
         .sortWithinPartitions(*order)
-        .mapInArrow(run, f"doc_id {kind}, part int, part_start bigint, ids array<int>")
+        .mapInArrow(run, f"doc_id {kind}, part int, part_start bigint, n_tokens bigint, ids array<int>")
     )
     coded.write.options(**ORC).orc(folder)
 
@@ -184,16 +185,16 @@ def read_tokens(spark: SparkSession, folder: str, id_type: T.DataType | None = N
             T.StructField("doc_id", id_type or T.LongType()),
             T.StructField("part", T.IntegerType()),
             T.StructField("part_start", T.LongType()),
+            T.StructField("n_tokens", T.LongType()),
             T.StructField("ids", T.ArrayType(T.IntegerType())),
         ]
     )
     rows = spark.read.schema(schema).orc(folder)
-    size = F.size("ids").cast("long")
-    parts = rows.groupBy("part").agg(F.max(F.col("part_start") + size).alias("held"))
+    parts = rows.groupBy("part").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("held"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     starts = parts.select("part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"))
     return rows.join(broadcast_if_small(starts), "part").select(
-        "doc_id", (F.col("before") + F.col("part_start")).alias("start"), size.alias("n_tokens"), "ids"
+        "doc_id", (F.col("before") + F.col("part_start")).alias("start"), "n_tokens", "ids"
     )
 
 
