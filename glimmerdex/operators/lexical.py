@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from glimmerdex import decisions as D
 from glimmerdex.functions.text import folded_tokens, query_clean, tokens
+from glimmerdex.operators import bounded
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.ranking import rounded, top_k
 from glimmerdex.plans import sizing
@@ -114,6 +115,8 @@ class LexicalIndex:
 
     `clustered` says that documents and postings are partitioned or bucketed by
     doc_key. `terms` holds (field, term, df) and `fields` (field, n_docs, avgdl).
+    `weighted` has, per settled field weights, the column of the postings with the weight
+    of each one, and the same by term in blocks if they were published for searches by bounds.
     """
 
     documents: DataFrame
@@ -121,6 +124,14 @@ class LexicalIndex:
     terms: DataFrame | None = None
     fields: DataFrame | None = None
     clustered: bool = False
+    weighted: tuple[tuple[dict[str, float], str, DataFrame | None], ...] = ()
+
+    def by_weight(self, weights: dict[str, float]) -> tuple[DataFrame | None, DataFrame] | None:
+        """(blocks by term, postings by document) with the weights of a search, if they were published."""
+        for known, column, blocks in self.weighted:
+            if known == weights and self.rows is not None:
+                return blocks, self.rows.filter(F.col(column) > 0).select("doc_key", "term", F.col(column).alias("weight"))
+        return None
 
     def prepared(self) -> LexicalIndex:
         """Documents of a few splits are dealt by key over all slots; beyond that no text is shuffled, only matches."""
@@ -215,6 +226,11 @@ def field_lengths(documents: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
+def best_weight(weights: dict[str, float]) -> Column:
+    """The weight of a posting: its best weighted field counts."""
+    return F.greatest(F.lit(0.0), *[F.lit(float(w)) * bm25(f) for f, w in weights.items()])
+
+
 def bm25(field: str) -> Column:
     """BM25 of one term in one field; 0 where the field lacks the term."""
     tf, dl, df, n, avgdl = (F.col(f"{c}_{field}") for c in ("tf", "dl", "df", "n_docs", "avgdl"))
@@ -249,12 +265,17 @@ def lexical_scores(
     # A vocabulary too large to broadcast filters little; the join with the statistics does it then.
     vocabulary = F.broadcast(terms.select("term").distinct()) if small else None
 
-    stats = index.statistics(fields, vocabulary)
-    matched = keyed_join(
-        index.postings(fields, vocabulary, to_column(where)), stats, ["term"], "doc_key", small=small
-    )
-    best = F.greatest(F.lit(0.0), *[F.lit(float(w)) * bm25(f) for f, w in weights.items()])
-    weighted = matched.select("doc_key", "term", best.alias("weight"))
+    published = index.by_weight(weights)
+    if published:
+        weighted = published[1] if vocabulary is None else published[1].join(vocabulary, "term", "left_semi")
+        if where is not None:
+            weighted = weighted.join(index.documents.filter(to_column(where)).select("doc_key"), "doc_key", "left_semi")
+    else:
+        stats = index.statistics(fields, vocabulary)
+        matched = keyed_join(
+            index.postings(fields, vocabulary, to_column(where)), stats, ["term"], "doc_key", small=small
+        )
+        weighted = matched.select("doc_key", "term", best_weight(weights).alias("weight"))
     if not index.clustered:
         # Before the queries multiply the rows, so it serves the sum as well.
         weighted = weighted.repartition("doc_key")
@@ -284,7 +305,14 @@ def lexical_search(
 
 
 def lexical_candidates(index, queries, size: int, weights, where=None, min_match=None) -> DataFrame:
-    """The best `size` documents per query with their rounded and their raw score."""
+    """The best `size` documents per query with their rounded and their raw score.
+
+    An index with blocks for these weights is searched by bounds, as long as every document and match counts."""
+    if isinstance(index, LexicalIndex) and where is None and min_match is None:
+        blocks, rows = index.by_weight({f: w for f, w in weights.items() if w > 0}) or (None, None)
+        terms = query_terms(queries)
+        if blocks is not None and sizing.is_small(terms):
+            return bounded.search(blocks, rows, terms, size)
     scores = lexical_scores(index, queries, weights, where, min_match)
     return top_k(scores.withColumnRenamed("score", "raw").withColumn("score", rounded(F.col("raw"))), size)
 

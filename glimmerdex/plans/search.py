@@ -73,7 +73,17 @@ def published_search(spark, sf):
     path = scratch_path(spark, "published")
     name = "published_" + path.rsplit("-", 1)[-1]
     docs = I.documents(spark, sf).drop("embedding", "meta")
-    index = publish_lexical(docs, path, name, ALL_FIELDS)
+    index = publish_lexical(docs, path, name, ALL_FIELDS, weightings=(D.LEXICAL_WEIGHTS,))
+    return _hits(lexical.lexical_search(index, I.queries(spark, sf), 10))
+
+
+@query("bounded_search", _lexical_sql(D.LEXICAL_WEIGHTS, 10))
+def bounded_search(spark, sf):
+    """The same over blocks of falling weight, reading what could reach the best ten."""
+    path = scratch_path(spark, "bounded")
+    docs = I.documents(spark, sf).drop("embedding", "meta")
+    name = "bounded_" + path.rsplit("-", 1)[-1]
+    index = publish_lexical(docs, path, name, ALL_FIELDS, weightings=(D.LEXICAL_WEIGHTS,), by_bounds=True)
     return _hits(lexical.lexical_search(index, I.queries(spark, sf), 10))
 
 

@@ -22,7 +22,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from glimmerdex.operators import lexical, upsert
+from glimmerdex import decisions as D
+from glimmerdex.operators import bounded, lexical, upsert
 from glimmerdex.operators.documents import INDEX_SCHEMA, empty_index
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.lexical import LexicalIndex
@@ -34,6 +35,7 @@ ROWS_PER_FILE = 100_000
 SKETCH_ROWS = 10_000  # smaller segments are opened without asking
 NAMES_ASKED = 1_000  # look-ups of more names scan the index
 TRIES = 20
+SETTLED = (D.LEXICAL_WEIGHTS, D.HYBRID_WEIGHTS)
 REMOVAL_SCHEMA = "doc_key string, ingest_seq long"
 _WRITING = "([0-9a-f]{32})/[^/]+$"  # of a data file's path, the writing it belongs to
 
@@ -258,6 +260,27 @@ class IndexStore:
         positions = F.create_map(*[F.lit(x) for e in entries for x in (e["path"][-32:], e["position"])])
         return rows.withColumn("ingest_seq", F.element_at(positions, F.regexp_extract("_metadata.file_path", _WRITING, 1)).cast("long"))
 
+    # -- search tables ----------------------------------------------------
+
+    def _published_log(self) -> CommitLog:
+        return CommitLog(Folder(self.spark, f"{self.folder}/published/log"))
+
+    def publish(self, fields: list[str], weightings: tuple[dict[str, float], ...] = SETTLED, buckets: int | None = None) -> LexicalIndex:
+        """Write search tables of the current documents, under a name of their own: tables that are being read stay."""
+        entries, name = self._entries(), f"published_{uuid.uuid4().hex}"
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        index = publish_lexical(self._content(entries), f"{self.folder}/published/{name}", name, fields, buckets, weightings)
+        state = {"name": name, "buckets": buckets, "fields": fields, "paths": [e["path"] for e in entries]}
+        self._published_log().commit(lambda _: state)
+        return index
+
+    def published(self, fields: list[str]) -> LexicalIndex | None:
+        """The search tables, if they hold these fields of the documents as they are now."""
+        _, state = self._published_log().latest()
+        if not state or not set(fields) <= set(state["fields"]) or state["paths"] != [e["path"] for e in self.manifest()]:
+            return None
+        return open_lexical(self.spark, f"{self.folder}/published/{state['name']}", state["name"], state["buckets"])
+
     # -- jobs -------------------------------------------------------------
 
     def record_job(self, job: str, state: str, processed: int = 0, success: int = 0, failed: int = 0, error: str | None = None) -> None:
@@ -325,29 +348,44 @@ def publish_each(documents: DataFrame, root: str, by: str) -> None:
 
 
 def publish_lexical(
-    documents: DataFrame, path: str, table: str, fields: list[str], buckets: int | None = None, replace: bool = False
+    documents: DataFrame, path: str, table: str, fields: list[str], buckets: int | None = None,
+    weightings: tuple[dict[str, float], ...] = SETTLED, by_bounds: bool = False,
 ) -> LexicalIndex:
-    """Write the search tables of an index and open them.
+    """Write the search tables of an index and open them. A path and a table name are used once.
 
     Documents and postings are bucketed alike by doc_key (postings sorted by term
     inside a bucket, so row groups carry tight term ranges), which spares later
     searches every shuffle before the top-k. Term and field statistics are kept
-    beside them.
+    beside them. For each of the weightings whose fields are all published, postings carry
+    their weight, so that a search has only sums to make; with `by_bounds` they also lie by
+    term in blocks of falling weight (see `bounded`).
     """
     spark = documents.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mode = "overwrite" if replace else "errorifexists"
+    settled = [w for w in weightings if set(w) <= set(fields)]
 
     def bucketed(rows: DataFrame, name: str, sort: str) -> None:
         # The shuffle hashes as the buckets do: one file per bucket.
-        writer = rows.repartition(buckets, "doc_key").write.mode(mode).bucketBy(buckets, "doc_key").sortBy(sort)
+        writer = rows.repartition(buckets, "doc_key").write.bucketBy(buckets, "doc_key").sortBy(sort)
         writer.option("path", f"{path}/{name}").saveAsTable(f"{table}_{name}")
 
     bucketed(documents, "documents", "doc_key")
     kept = spark.table(f"{table}_documents")
-    bucketed(lexical.postings(kept, fields), "postings", "term")
-    lexical.term_counts(kept, fields).write.mode(mode).parquet(f"{path}/terms")
-    lexical.field_lengths(kept, fields).coalesce(1).write.mode(mode).parquet(f"{path}/fields")
+    lexical.term_counts(kept, fields).write.parquet(f"{path}/terms")
+    lexical.field_lengths(kept, fields).coalesce(1).write.parquet(f"{path}/fields")
+    terms, lengths = spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/fields")
+    rows = lexical.postings(kept, fields)
+    if settled:
+        stats = LexicalIndex(kept, terms=terms, fields=lengths).statistics(fields, None)
+        weights = [lexical.best_weight(w).alias(f"weight_{i}") for i, w in enumerate(settled)]
+        rows = keyed_join(rows, stats, ["term"], "doc_key").select(*rows.columns, *weights)
+    bucketed(rows, "postings", "term")
+    listed = [(i, f, float(w)) for i, chosen in enumerate(settled) for f, w in chosen.items()]
+    spark.createDataFrame(listed, "weighting int, field string, weight double").coalesce(1).write.parquet(f"{path}/weights")
+    for i in range(len(settled) if by_bounds else 0):
+        weighted = spark.table(f"{table}_postings").select("term", "doc_key", F.col(f"weight_{i}").alias("weight")).filter("weight > 0")
+        blocks = bounded.blocks(weighted).repartitionByRange("term").sortWithinPartitions("term", "shard", "block")
+        blocks.write.parquet(f"{path}/blocks_{i}")
     return open_lexical(spark, path, table)
 
 
@@ -363,10 +401,14 @@ def open_lexical(spark: SparkSession, path: str, table: str, buckets: int | None
                 f"CREATE TABLE {table}_{name} ({columns}) USING parquet "
                 f"CLUSTERED BY (doc_key) SORTED BY ({sort}) INTO {buckets} BUCKETS LOCATION '{path}/{name}'"
             )
+    kept, weightings = Folder(spark, path).names(), {}
+    for r in spark.read.parquet(f"{path}/weights").collect():  # a row per weighting and field
+        weightings.setdefault(r["weighting"], {})[r["field"]] = r["weight"]
     return LexicalIndex(
         documents=spark.table(f"{table}_documents"),
         rows=spark.table(f"{table}_postings"),
         terms=spark.read.parquet(f"{path}/terms"),
         fields=spark.read.parquet(f"{path}/fields"),
         clustered=True,
+        weighted=tuple((w, f"weight_{i}", spark.read.parquet(f"{path}/blocks_{i}") if f"blocks_{i}" in kept else None) for i, w in sorted(weightings.items())),
     )

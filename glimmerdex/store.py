@@ -16,6 +16,7 @@ from glimmerdex import decisions as D
 from glimmerdex.operators import embed, hybrid, lexical, lookup, rag, shaping, tuning, vector
 from glimmerdex.operators.documents import build_documents
 from glimmerdex.operators.filters import to_column
+from glimmerdex.operators.lexical import LexicalIndex
 from glimmerdex.operators.ranking import most_rows, retriever, without_score
 from glimmerdex.operators.upsert import validate
 from glimmerdex.plans.sizing import written
@@ -118,6 +119,15 @@ class SearchIndex:
         self.store.delete(ids, query, delete_all)
         return True
 
+    def publish(self) -> None:
+        """Write search tables of the current documents. Keyword and hybrid searches use them until documents change."""
+        weightings = tuple(self._weights(w) for w in (D.LEXICAL_WEIGHTS, D.HYBRID_WEIGHTS))
+        self.store.publish(sorted({f for w in weightings for f in w}), weightings)
+
+    def _searched(self, documents: DataFrame, weights: dict[str, float]) -> DataFrame | LexicalIndex:
+        """The published tables where they are up to date, else the documents."""
+        return self.store.published(sorted(weights)) or documents
+
     # -- reading ----------------------------------------------------------
 
     def documents(self) -> DataFrame:
@@ -155,11 +165,13 @@ class SearchIndex:
     def _hits(self, documents, query, k, filter, is_hybrid, is_lexical, mode, alpha) -> DataFrame:
         where = to_column(filter, self.columns)
         if is_lexical:
-            return lexical.lexical_search(documents, self.queries(query), k, self._weights(D.LEXICAL_WEIGHTS), where)
+            weights = self._weights(D.LEXICAL_WEIGHTS)
+            return lexical.lexical_search(self._searched(documents, weights), self.queries(query), k, weights, where)
         if is_hybrid:
             hybrid.check_mode(mode)
+            weights = self._weights(D.HYBRID_WEIGHTS)
             return hybrid.hybrid_search(
-                documents, self.embed_query(query), k, mode, alpha, where, None, self._weights(D.HYBRID_WEIGHTS), self.vector_field
+                self._searched(documents, weights), self.embed_query(query), k, mode, alpha, where, None, weights, self.vector_field
             )
         return vector.knn_search(documents, self.embed_query(query), k, self.vector_field, where)
 
@@ -192,7 +204,8 @@ class SearchIndex:
 
     def _tuned(self, documents, query, rows, knobs, quality=None, as_of=None) -> DataFrame:
         settled = tuning.knobs(knobs, self.saved_tuning)
-        return hybrid.tuned_search(documents, self.embed_query(query), settled, rows, None, quality, as_of, self.vector_field)
+        searched = self._searched(documents, settled["weights"])
+        return hybrid.tuned_search(searched, self.embed_query(query), settled, rows, None, quality, as_of, self.vector_field)
 
     def as_retriever(self, **options) -> Callable[..., DataFrame]:
         return retriever(self.similarity_search_with_score, **options)

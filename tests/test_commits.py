@@ -264,3 +264,22 @@ def test_indexes_of_one_table(spark, tmp_path):
     store.upsert(plain(spark, [("9", "new")]))
     store.delete(query="ext_id = '0'")
     assert counts()["en"] == (2, 0) and "en" in list_indexes(spark, str(tmp_path))
+
+
+def test_searches_use_published_tables_while_they_are_current(spark, tmp_path, monkeypatch):
+    words = "red green blue cat dog bird runs sleeps sings fast slow rare".split()
+    made = [(f"d{i}", " ".join(words[(i * k) % 12] for k in range(1, 3 + i % 7))) for i in range(60)]
+    index = SearchIndex.from_texts(spark, str(tmp_path), [t for _, t in made], index="idx", ids=[i for i, _ in made])
+    asked = ["cat dog", "fast red bird", "rare", "nothing here", ""]
+    kinds = [{"lexical": True}, {"hybrid": True}, {"lexical": True, "filter": "ext_id < 'd3'"}]
+    rows = lambda: [sorted(map(tuple, index.similarity_search_with_score(asked, 5, **kind).select("query_id", "rank", "doc_key", "score").collect())) for kind in kinds]
+    before = rows()
+    index.publish()
+    used = []
+    published = IndexStore.published
+    monkeypatch.setattr(IndexStore, "published", lambda self, fields: used.append(published(self, fields)) or used[-1])
+    assert rows() == before and len(used) == 3 and all(used)
+    index.add_texts(["rare rare rare"], ids=["new"])
+    assert rows() != before and used[-1] is None  # the tables are behind
+    index.publish()
+    assert [r["page_content"] for r in index.similarity_search("rare", 1, lexical=True).collect()] and used[-1] is not None

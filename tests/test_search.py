@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glimmerdex import decisions as D
-from glimmerdex.operators import hybrid, lexical, lookup, ranking, tuning, vector
+from glimmerdex.operators import bounded, hybrid, lexical, lookup, ranking, tuning, vector
 from glimmerdex.sources.index_store import open_lexical, publish_lexical
 
 WORDS = "the a of red green blue cat dog bird runs sleeps sings fast slow rare unique".split()
@@ -114,6 +114,7 @@ def test_published_tables(spark, docs, asked, tmp_path):
     index = publish_lexical(docs, str(tmp_path / "p"), "published_test", ["title", "description", "text"], 4)
     hits = lexical.lexical_search(index, asked, 7)
     same(listed(hits), brute_lexical(D.LEXICAL_WEIGHTS, 7))
+    same(listed(lexical.lexical_search(index, asked, 7, where="parity = 'odd'")), brute_lexical(D.LEXICAL_WEIGHTS, 7, lambda r: r[4] == "odd"))
     same(listed(lexical.lexical_search(index, asked, 7, {"text": 1.0}, "parity = 'odd'")), brute_lexical({"text": 1.0}, 7, lambda r: r[4] == "odd"))
     spark.sql("DROP TABLE published_test_documents")
     spark.sql("DROP TABLE published_test_postings")
@@ -121,6 +122,21 @@ def test_published_tables(spark, docs, asked, tmp_path):
     same(listed(lexical.lexical_search(again, asked, 7)), brute_lexical(D.LEXICAL_WEIGHTS, 7))
 
 
+@pytest.mark.parametrize("shard", [1_000_000, 20])
+def test_bounds_leave_no_result_out(spark, docs, asked, tmp_path, monkeypatch, shard):
+    monkeypatch.setattr(bounded, "BLOCK", 4)
+    monkeypatch.setattr(bounded, "SHARD", shard)
+    fields = ["title", "description", "text"]
+    settled = (D.LEXICAL_WEIGHTS, {"text": 1.0})
+    index = publish_lexical(docs, str(tmp_path / "b"), f"bounds_{shard}", fields, 4, settled, by_bounds=True)
+    for weights in settled:
+        for k in (1, 7, 500):
+            same(listed(lexical.lexical_search(index, asked, k, weights)), brute_lexical(weights, k))
+    assert all(blocks is not None for _, _, blocks in index.weighted)
+    done = bounded.work(*index.by_weight(D.LEXICAL_WEIGHTS), lexical.query_terms(asked), 1).first()
+    assert 0 < done["scored"] < done["matching"]
+
+
 @pytest.mark.parametrize(
     "spec, needs",
     [
