@@ -13,8 +13,8 @@ reach THRESHOLD with it: the template's other terms are too small a part of its
 is left is scored once per distinct statement, however many files repeat it.
 
 Terms outside the templates weigh the mean of the templates' terms. Defined results: a
-null text is empty and has no licence; a null path is a file without directories; rows of
-one path share its best licence; ties go to the smaller licence name; an empty table
+null text is empty and has no licence; a row without a path is a file of its own, which
+inherits nothing; rows of one path share its best licence; ties go to the smaller licence name; an empty table
 gives an empty result. Other columns are not read. Everything is column expressions and
 joins.
 """
@@ -181,7 +181,9 @@ def inherited(directories: DataFrame, licensed: DataFrame) -> DataFrame:
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", file_name: str = LICENCE_FILE) -> DataFrame:
     """(path, license, score, origin, from_directory) of every row; origin is own, inherited or null."""
     rows = files.select(F.col(f"`{path_col}`").alias("path"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    own = written(declared(rows), "own-licences")
+    # Rows without a path are told apart by their texts; no path begins with the mark.
+    rows = rows.withColumn("file", F.coalesce("path", F.concat(F.lit("\0"), F.md5(F.col("text").cast("binary")))))
+    own = written(declared(rows.select(F.col("file").alias("path"), "text")), "own-licences")
     licensed = (
         own.filter(F.col("path").rlike(file_name))
         .select(parent(F.col("path")).alias("from_directory"), "license", "score")
@@ -189,12 +191,13 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", file_
         .agg(F.min(F.struct((-F.col("score")).alias("less"), "license")).alias("best"))
         .select("from_directory", F.col("best.license").alias("license"), (-F.col("best.less")).alias("score"))
     )
-    paths = rows.select("path", parent(F.col("path")).alias("directory"))
+    paths = rows.select("path", "file", parent(F.col("path")).alias("directory"))
     passed = inherited(paths.select("directory").filter("directory is not null").distinct(), licensed)
     passed = written(passed, "inherited").select(
         "directory", F.col("license").alias("theirs"), F.col("score").alias("their_score"), "from_directory"
     )
-    marked = keyed_join(keyed_join(paths, own, ["path"], "path", "left"), passed, ["directory"], "path", "left")
+    marked = keyed_join(paths, own.withColumnRenamed("path", "file"), ["file"], "directory", "left")
+    marked = keyed_join(marked, passed, ["directory"], "file", "left")
     has = F.col("license").isNotNull()
     return marked.select(
         "path",
@@ -206,13 +209,13 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", file_
 
 
 def document_path() -> Column:
-    """The documents have no paths. Source, thousand and hundred of the id stand for directories, and the first
+    """The documents have no paths, and one without an id gets none. Source, thousand and hundred of the id stand for directories, and the first
     document of a hundred for its directory's licence file."""
     thousand, hundred = (F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100))
     name = F.when(F.col("doc_id") % 100 == 0, F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string"))).otherwise(
         F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
     )
-    return F.concat_ws("/", "source", thousand, hundred, name)
+    return F.when(F.col("doc_id").isNotNull(), F.concat_ws("/", "source", thousand, hundred, name))
 
 
 def _sql() -> str:

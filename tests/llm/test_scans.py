@@ -184,10 +184,20 @@ def test_own_and_inherited_licences(spark, shuffled_joins):
         "src/lib/deep/er/plain.c": ("MIT", "inherited", "src/lib"),
         "srcs/other.c": ("GPL-3.0", "inherited", ""),
         "docs/readme": ("MIT", "own", None),
-        None: (None, None, None),
+        None: ("MIT", "own", None),
     }
 
 
+def test_rows_without_a_path_or_an_id(spark, tmp_path):
+    rows = [(None, "Released under the MIT License."), (None, "Released under the MIT License."), (None, "nothing of that kind"), (None, None), ("LICENSE", "Released under the MIT License.")]
+    got = sorted((str(r["license"]), str(r["origin"])) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).filter("path IS NULL").collect())
+    assert got == [("MIT", "own")] * 2 + [("None", "None")] * 2
+    docs = [(None, "Released under the MIT License.", "s1"), (5, "words", "s1"), (None, "others", "s2")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted((str(r["doc_id"]), str(r["license"])) for r in licenses.op5_licenses(spark, str(tmp_path)).collect())
+    assert found == [("5", "None"), ("None", "MIT"), ("None", "None")]
+
+
 def test_anchors_lose_no_statement():
     weights = {t: 1.0 + (hash(t) % 7) for c in licenses.template_terms() for t in c}
     vectors = licenses.template_vectors(weights)
