@@ -42,7 +42,7 @@ ORC = {
     "orc.bloom.filter.fpp": "0.01",
 }
 TEXTS_AT_ONCE = 1024
-PIECES_AT_ONCE = 512
+PIECES_AT_ONCE = 64
 PLAIN = "\0"  # begins a piece that no space stands before
 
 
