@@ -10,7 +10,7 @@ from glimmerdex.operators import embed, enrich, filters, lookup, shaping, upsert
 from glimmerdex.operators.documents import build_documents
 from glimmerdex.plans import inputs as I
 from glimmerdex.plans.inputs import query
-from glimmerdex.plans.sizing import scratch_path, spread
+from glimmerdex.plans.sizing import scratch_path, spread, text_parts
 from glimmerdex.sources.corpus import DROPPED_ELEMENTS, corpus_scan as scan, page_source, unescape
 from glimmerdex.sources.index_store import IndexStore, describe_indexes, publish_each
 from glimmerdex.streaming import ingest
@@ -262,10 +262,10 @@ def _submitted(spark, sf):
     first = docs.join(labels, "doc_id", "left").select(
         F.when((F.col("quality") == 0) & (F.col("toxic") == 0), F.lit(None)).otherwise(F.col("doc_id").cast("string")).alias("id"),
         F.when(F.col("toxic") == 1, F.lit(None)).otherwise(F.col("text")).alias("text"), "source",
-        F.lit(0).cast("long").alias("ingest_seq"),
+        F.lit(0).cast("long").alias("ingest_seq"), "doc_id",
     )
     again = docs.join(labels, "doc_id").select(
-        F.col("doc_id").cast("string").alias("id"), "text", "source", F.lit(1).cast("long").alias("ingest_seq")
+        F.col("doc_id").cast("string").alias("id"), "text", "source", F.lit(1).cast("long").alias("ingest_seq"), "doc_id"
     )
     return first.unionByName(again)
 
@@ -372,12 +372,15 @@ def index_list(spark, sf):
 def _streamed(spark, sf, times: int):
     """The submitted batch as a queue of files, ingested `times` times over."""
     root = scratch_path(spark, "stream")
-    rows = _submitted(spark, sf).select("id", "text", "source", "ingest_seq")
-    rows.repartition(4, "id").write.parquet(f"{root}/queue")
+    rows = _submitted(spark, sf)
+    # The files grow in number; rows of an id lie in one file, rows without an id in all of them.
+    files = max(4, text_parts(I.table(spark, sf, "documents")) or 0)
+    rows = rows.repartition(files, "doc_id").select("id", "text", "source", "ingest_seq")
+    rows.write.parquet(f"{root}/queue")
     store = IndexStore(spark, root, "stream")
     build = lambda batch, order: build_documents(batch, "stream", metadata_cols=["source"], seq=order)
     for run in range(times):
-        source = ingest.file_stream(spark, f"{root}/queue", rows.schema, files_per_trigger=2)
+        source = ingest.file_stream(spark, f"{root}/queue", rows.schema, files_per_trigger=-(-files // 2))
         running = ingest.start_ingest(
             store, source, build, f"{root}/checkpoint-{run}", f"run{run}", order_col="ingest_seq"
         )

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 SALTS = 32
+TEXT_PER_TASK = 4 * 1024 * 1024  # bytes in files: counted term by term, that many texts take some hundred MB of a task
 
 
 def _width(field: T.StructField) -> Column:
@@ -117,6 +118,21 @@ def few_splits(df: DataFrame) -> bool:
     return size < split * spark.sparkContext.defaultParallelism
 
 
+def text_parts(df: DataFrame) -> int | None:
+    """How many partitions keep a count of all terms within the memory of a task; None where adaptive execution
+    makes them small enough, or where the size of the source is not known."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    parts = -(-size // TEXT_PER_TASK)
+    return parts if df.sparkSession.sparkContext.defaultParallelism < parts < 1 << 20 else None
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Texts partitioned by key, in parts that grow in number and not in size."""
+    parts = text_parts(df)
+    return df.repartition(parts, key) if parts else df.repartition(key)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """A table of few splits is dealt over all slots by key; a larger one is left where it is.
 
