@@ -19,15 +19,23 @@ Bounds are compared with a margin wider than the rounding of scores, so ties sta
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from glimmerdex.operators.matching import numbered
 from glimmerdex.operators.ranking import rounded, top_k
 from glimmerdex.plans.sizing import broadcast_if_small, written
 
 BLOCK = 128
 SHARD = 1_000_000  # postings of a term that are put in order together
 MARGIN = 1e-4
+MATRIX_CELLS = 4_000_000  # terms x documents that a task adds up at once
 PART = 0.15  # of the bound that is shared out: less means more read by term and fewer documents to complete
 
 
@@ -39,6 +47,8 @@ def blocks(weighted: DataFrame) -> DataFrame:
     dealt = weighted.join(broadcast_if_small(sizes), "term", "left").withColumn(
         "shard", F.pmod(F.xxhash64("doc_key"), F.coalesce("shards", F.lit(1))).cast("int")
     )
+    # One shuffle: ranges of terms, numbered and written where they lie.
+    dealt = dealt.repartitionByRange("term", "shard")
     order = Window.partitionBy("term", "shard").orderBy(F.desc("weight"), "doc_key")
     numbered = dealt.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     return numbered.groupBy("term", "shard", "block").agg(
@@ -72,17 +82,108 @@ def parts(by_term: DataFrame, by_document: DataFrame, terms: DataFrame, k: int)
 
     opened = by_term.join(F.broadcast(shared), "term").filter(F.col("top") > F.col("share"))
     read = _opened(opened).filter(F.col("weight") > F.col("share"))
-    sums = written(read.groupBy("query_id", "doc_key").agg(F.sum("weight").alias("weight"), F.sum("share").alias("seen")), "sums")
-    better, all_ = _kth(sums, k), shared.groupBy("query_id").agg(F.sum("share").alias("all"))
-    limits = F.broadcast(all_.join(better, "query_id", "left"))
-    could = F.col("weight") + F.col("all") - F.col("seen") >= F.coalesce("bound", F.lit(0.0))
-    able = written(sums.join(limits, "query_id").filter(could).select("query_id", "doc_key", "weight"), "able")
+    sums = written(_sums(by_term, shared, bound, k), "sums")
+    could = F.col("most") >= F.coalesce("bound", F.lit(0.0))
+    able = sums.join(F.broadcast(_kth(sums.drop("most"), k)), "query_id", "left").filter(could)
+    able = written(able.select("query_id", "doc_key", "weight"), "able")
 
     pairs = broadcast_if_small(able.select("query_id", "doc_key"))
     others = by_document.join(pairs, "doc_key").join(F.broadcast(shared), ["query_id", "term"])
     return read, able, others.filter(F.col("weight") <= F.col("share")).select("query_id", "doc_key", "weight")
 
 
+class _Shares:
+    """The query terms with their shares, by query, and the bounds known so far."""
+
+    def __init__(self, table: pa.Table):
+        coded = table["query_id"].combine_chunks().dictionary_encode(null_encoding="encode")
+        rows = coded.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(rows, kind="stable")
+        self.ids = coded.dictionary
+        self.cuts = np.searchsorted(rows[order], np.arange(len(self.ids) + 1))
+        self.terms, self.shares = table["term_no"].to_numpy()[order], table["share"].to_numpy()[order]
+        self.n_terms = int(self.terms.max()) + 1 if len(rows) else 0
+        self.bounds = np.zeros(len(self.ids))
+        self.bounds[rows] = table["bound"].to_numpy()
+
+
+def _sums(by_term: DataFrame, shared: DataFrame, bound: DataFrame, k: int) -> DataFrame:
+    """(query_id, doc_key, weight, most) of the documents that could still win: what was read of them adds up to
+    `weight`, and with the shares of the other terms they have `most`.
+
+    Every posting is shuffled once, whatever the number of queries, and the sums are made for a block of documents
+    and a query at a time. The k-th best of a task is a bound as well, so few of the sums become rows.
+    """
+    numbers = F.broadcast(numbered(shared))
+    least = shared.groupBy("term").agg(F.min("share").alias("least")).join(numbers, "term")
+    opened = by_term.join(F.broadcast(least), "term").filter(F.col("top") > F.col("least"))
+    postings = _opened(opened.drop("term")).filter(F.col("weight") > F.col("least")).select("doc_key", "term_no", "weight")
+    documents = postings.groupBy("doc_key").agg(F.collect_list(F.struct("term_no", "weight")).alias("matches"))
+    asked = shared.join(numbers, "term").join(F.broadcast(bound), "query_id", "left")
+    asked = asked.select("query_id", "term_no", "share", F.coalesce("bound", F.lit(0.0)).alias("bound"))
+    shares = by_term.sparkSession.sparkContext.broadcast(_Shares(asked.toArrow()))
+    schema = T.StructType([shared.schema["query_id"], T.StructField("doc_key", T.StringType())])
+    schema = schema.add("weight", T.DoubleType()).add("most", T.DoubleType())
+
+    def able(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = shares.value
+        bounds, best = asked.bounds.copy(), [np.zeros(0)] * len(asked.ids)
+        for batch in batches:
+            for first, documents, terms, weights, n in _doc_blocks(batch.column("matches"), asked.n_terms):
+                for q, found in enumerate(_query_sums(asked, documents, terms, weights, n)):
+                    at, weight, most = found
+                    best[q] = np.concatenate([best[q], weight])
+                    if len(best[q]) >= k:
+                        best[q] = np.partition(best[q], len(best[q]) - k)[len(best[q]) - k :]
+                        bounds[q] = max(bounds[q], best[q][0] - MARGIN)
+                    kept = most >= bounds[q]
+                    if kept.any():
+                        ids = asked.ids.take(pa.array(np.full(kept.sum(), q)))
+                        keys = batch.column("doc_key").take(pa.array(at[kept] + first))
+                        yield pa.record_batch([ids, keys, weight[kept], most[kept]], names=schema.names)
+
+    return documents.mapInArrow(able, schema)
+
+
+def _doc_blocks(matches: pa.ListArray, n_terms: int) -> Iterator[tuple]:
+    """(first, documents, terms, weights, n) for blocks of documents whose matrix of weights is of bounded size."""
+    lengths = pc.list_value_length(matches).to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    pairs = matches.flatten()
+    terms = pairs.field("term_no").to_numpy(zero_copy_only=False)
+    weights = pairs.field("weight").to_numpy(zero_copy_only=False)
+    step = max(16, min(1024, MATRIX_CELLS // max(n_terms, 1)))
+    for first in range(0, len(matches), step):
+        last = min(first + step, len(matches))
+        part = slice(starts[first], starts[last])
+        yield first, np.repeat(np.arange(last - first), lengths[first:last]), terms[part], weights[part], last - first
+
+
+def _query_sums(asked: _Shares, documents: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int) -> Iterator[tuple]:
+    """Per query (documents, weight, most) of a block. Repeated postings of a document and term have columns of their own."""
+    order = np.lexsort((documents, terms))
+    documents, terms, weights = documents[order], terms[order], weights[order]
+    new = np.concatenate([[True], (terms[1:] != terms[:-1]) | (documents[1:] != documents[:-1])])
+    place = np.arange(len(terms))
+    again = place - np.maximum.accumulate(np.where(new, place, 0))
+    columns, column = np.unique(again * n + documents, return_inverse=True)
+    found, row = np.unique(terms, return_inverse=True)
+    matrix = np.zeros((len(found), len(columns)))
+    matrix[row, column] = weights
+    at = np.full(asked.n_terms, -1)
+    at[found] = np.arange(len(found))
+    for q in range(len(asked.ids)):
+        part = slice(asked.cuts[q], asked.cuts[q + 1])
+        rows, share = at[asked.terms[part]], asked.shares[part]
+        mine, together = matrix[rows[rows >= 0]], share.sum()
+        share = share[rows >= 0]
+        read = mine > share[:, None]
+        weight = np.bincount(columns % n, (mine * read).sum(axis=0), n)
+        seen = np.bincount(columns % n, share @ read, n)
+        some = np.nonzero(np.bincount(columns % n, read.any(axis=0), n))[0]
+        yield some, weight[some], (weight + together - seen)[some]
+
+
 def _kth(sums: DataFrame, k: int) -> DataFrame:
     """(query_id, bound): what at least k documents have, less the margin; queries with fewer have none."""
     best = top_k(sums.withColumnRenamed("weight", "score"), k)

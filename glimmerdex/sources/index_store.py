@@ -27,7 +27,8 @@ from glimmerdex.operators import bounded, lexical, upsert
 from glimmerdex.operators.documents import INDEX_SCHEMA, empty_index
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.lexical import LexicalIndex
-from glimmerdex.plans.sizing import broadcast_if_small, keyed_join
+from glimmerdex.plans import sizing
+from glimmerdex.plans.sizing import broadcast_if_small, is_small, keyed_join, measure, text_parts, within_bounds, written
 from glimmerdex.sources import manifest, sketches
 from glimmerdex.sources.commits import CommitLog, Conflict, Folder
 
@@ -361,12 +362,12 @@ def publish_lexical(
     term in blocks of falling weight (see `bounded`).
     """
     spark = documents.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), text_parts(documents) or 0)
     settled = [w for w in weightings if set(w) <= set(fields)]
 
-    def bucketed(rows: DataFrame, name: str, sort: str) -> None:
-        # The shuffle hashes as the buckets do: one file per bucket.
-        writer = rows.repartition(buckets, "doc_key").write.bucketBy(buckets, "doc_key").sortBy(sort)
+    def bucketed(rows: DataFrame, name: str, sort: str, in_place: bool = False, mode: str = "error") -> None:
+        # The shuffle hashes as the buckets do, and what was counted bucket by bucket lies there: one file per bucket.
+        writer = (rows if in_place else rows.repartition(buckets, "doc_key")).write.mode(mode).bucketBy(buckets, "doc_key").sortBy(sort)
         writer.option("path", f"{path}/{name}").saveAsTable(f"{table}_{name}")
 
     bucketed(documents, "documents", "doc_key")
@@ -374,21 +375,48 @@ def publish_lexical(
     lexical.term_counts(kept, fields).write.parquet(f"{path}/terms")
     lexical.field_lengths(kept, fields).coalesce(1).write.parquet(f"{path}/fields")
     terms, lengths = spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/fields")
-    rows = lexical.postings(kept, fields)
+    rows = lexical.postings(kept, fields, by_key=True)
     if settled:
         stats = LexicalIndex(kept, terms=terms, fields=lengths).statistics(fields, None)
         weights = [lexical.best_weight(w).alias(f"weight_{i}") for i, w in enumerate(settled)]
-        rows = keyed_join(rows, stats, ["term"], "doc_key").select(*rows.columns, *weights)
-    bucketed(rows, "postings", "term")
+        if not is_small(stats):
+            stats = written(stats, "stats")
+        common, rare = _by_frequency(stats, [f"df_{f}" for f in fields])
+        known = F.broadcast(common.select("term"))
+        bucketed(rows.join(F.broadcast(common), "term").select(*rows.columns, *weights), "postings", "term", True)
+        if rare is not None:  # only these leave their place, and come back to files of their own
+            others = rows.join(known, "term", "left_anti")
+            others = keyed_join(others, rare, ["term"], "doc_key").select(*rows.columns, *weights)
+            bucketed(others, "postings", "term", mode="append")
+    else:
+        bucketed(rows, "postings", "term", True)
     listed = [(i, f, float(w)) for i, chosen in enumerate(settled) for f, w in chosen.items()]
     spark.createDataFrame(listed, "weighting int, field string, weight double").coalesce(1).write.parquet(f"{path}/weights")
     for i in range(len(settled) if by_bounds else 0):
         weighted = spark.table(f"{table}_postings").select("term", "doc_key", F.col(f"weight_{i}").alias("weight")).filter("weight > 0")
-        blocks = bounded.blocks(weighted).repartitionByRange("term").sortWithinPartitions("term", "shard", "block")
-        blocks.write.parquet(f"{path}/blocks_{i}")
+        bounded.blocks(weighted).sortWithinPartitions("term", "shard", "block").write.parquet(f"{path}/blocks_{i}")
     return open_lexical(spark, path, table)
 
 
+def _by_frequency(stats: DataFrame, counts: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Statistics of the most frequent terms, as many as may be broadcast, and of the others if there are any.
+
+    Most terms of a large corpus are in a few documents, so most postings belong to the first."""
+    n, size = measure(stats)
+    if within_bounds(n, size):
+        return stats, None
+    frequency = F.greatest(F.lit(1), *[F.coalesce(c, F.lit(0)) for c in counts])
+    level = F.floor(F.log2(frequency)).cast("int")
+    room, least = min(sizing.MAX_BROADCAST_ROWS, sizing.MAX_BROADCAST_BYTES * n // size), None
+    for r in stats.groupBy(level.alias("level")).count().sort(F.desc("level")).collect():  # a row per power of two
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["level"]
+    is_common = F.lit(False) if least is None else level >= least
+    return stats.filter(is_common), stats.filter(~is_common)
+
+
 def open_lexical(spark: SparkSession, path: str, table: str, buckets: int | None = None) -> LexicalIndex:
     """Open published search tables; `buckets` registers them in a catalog that lacks them."""
     for name, sort in (("documents", "doc_key"), ("postings", "term")):
