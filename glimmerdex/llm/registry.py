@@ -9,6 +9,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from glimmerdex.plans.sizing import in_small_batches  # noqa: F401
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
@@ -30,7 +32,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-BATCH_BYTES = 8 << 20
 _HOLDER: list[tuple[str, Callable[[], None] | None]] = []
 
 
@@ -56,17 +57,6 @@ def give_back() -> None:
         trim(0)
 
 
-def in_small_batches(df: DataFrame) -> DataFrame:
-    """The same table, its session passing texts to Python workers in batches of at most BATCH_BYTES.
-
-    Batches are bounded by rows otherwise, or by more bytes than two workers beside a small heap can hold."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int("".join(c for c in conf.get(key) if c.isdigit()))
-    if now > BATCH_BYTES:
-        conf.set(key, f"{BATCH_BYTES >> 20}m")
-    return df
-
-
 def free_name(df: DataFrame, wanted: str) -> str:
     """The wanted column name, lengthened until the table has no such column in any letter case."""
     taken = {c.lower() for c in df.columns}

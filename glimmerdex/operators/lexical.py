@@ -1,11 +1,11 @@
 """BM25 keyword search for a table of queries.
 
 Scores are taken document by document: the terms of a document meet the query
-vocabulary (a hash join against a measured, broadcast table), become one weight
-per (document, term), and are summed per (query, document). All of it is keyed by
-`doc_key`: on documents partitioned by that key, and on published tables bucketed
-by it, nothing is shuffled before the final top-k, which ships k rows per query
-and task.
+vocabulary (measured and broadcast), become one weight per (document, term), and are
+summed per (query, document). On published tables bucketed by `doc_key` nothing is
+shuffled before the final top-k, which ships k rows per query and task. Raw documents
+are cut into words once and counted in the tasks (`matching.counted`); a row of counts
+per document is shuffled, never a posting or a text.
 """
 
 from __future__ import annotations
@@ -32,10 +32,12 @@ def _analysed(field: str) -> Column:
     return analysis(F.coalesce(F.col(column), F.lit("")))
 
 
-def _token_columns(documents: DataFrame, fields: list[str]) -> DataFrame:
-    """(doc_key, terms_<field>…); the generator keeps later steps from tokenising again."""
+def _token_columns(documents: DataFrame, fields: list[str], where: Column | None = None) -> DataFrame:
+    """(doc_key, kept, terms_<field>…), `kept` for documents that pass the filter; the generator keeps later steps from
+    tokenising again."""
     names = [f"terms_{f}" for f in fields]
-    return documents.select("doc_key", F.stack(F.lit(1), *[_analysed(f) for f in fields]).alias(*names))
+    kept = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    return documents.select("doc_key", kept.alias("kept"), F.stack(F.lit(1), *[_analysed(f) for f in fields]).alias(*names))
 
 
 def field_terms(documents: DataFrame, fields: list[str]) -> DataFrame:
@@ -271,13 +273,24 @@ def lexical_scores(
     small = sizing.within_bounds(n_terms, size)
     by_blocks = best is not None and (small or sizing.is_small(terms.select("term").distinct()))
     index = index.prepared()
-    numbers = F.broadcast(matching.numbered(terms)) if by_blocks else None
+    known = matching.vocabulary(terms) if by_blocks else None
+    numbers = F.broadcast(matching.numbered(terms, known)) if by_blocks else None
     # A vocabulary too large to broadcast filters little; the join with the statistics does it then.
     vocabulary = F.broadcast(terms.select("term").distinct()) if small else None
     if by_blocks:
         small, vocabulary = True, F.broadcast(numbers.select("term"))
 
     published = index.by_weight(weights)
+    if min_match is not None:
+        needed = terms.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("n_terms"))
+        needed = needed.select("query_id", required_terms(F.col("n_terms"), min_match).alias("needed"))
+        terms = terms.join(needed, "query_id")
+    if by_blocks:
+        most = [] if min_match is None else [F.max("needed").alias("needed")]
+        asked = terms.join(numbers, "term").groupBy("query_id", "term_no").agg(F.count(F.lit(1)).alias("times"), *most)
+        if not published and index.rows is None and index.terms is None:
+            counts = matching.counted(_token_columns(index.documents, fields, to_column(where)), fields, known)
+            return matching.best_counted(counts, asked, best, weights, len(known))
     if published:
         weighted = published[1] if vocabulary is None else published[1].join(vocabulary, "term", "left_semi")
         if where is not None:
@@ -291,13 +304,7 @@ def lexical_scores(
     if not index.clustered:
         # Before the queries multiply the rows, so it serves the sum as well.
         weighted = weighted.repartition("doc_key")
-    if min_match is not None:
-        needed = terms.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("n_terms"))
-        needed = needed.select("query_id", required_terms(F.col("n_terms"), min_match).alias("needed"))
-        terms = terms.join(needed, "query_id")
     if by_blocks:
-        most = [] if min_match is None else [F.max("needed").alias("needed")]
-        asked = terms.join(numbers, "term").groupBy("query_id", "term_no").agg(F.count(F.lit(1)).alias("times"), *most)
         return matching.best_matches(weighted.join(numbers, "term").select("doc_key", "term_no", "weight"), asked, best)
     sums = [F.sum("weight").alias("score")]
     if min_match is not None:

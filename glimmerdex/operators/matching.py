@@ -4,11 +4,16 @@ A frequent word matches most queries with most documents, so their pairs are man
 the input. A task takes documents with their weighted terms in Arrow batches, adds the
 weights up for a block of queries and a block of documents at a time, and keeps the best
 per query: only (tasks x queries x size) rows are shuffled.
+
+Documents without published weights are read and cut into words once. What they have of the
+query terms is counted in the tasks and kept as one row of lists per document, of which
+both the statistics and the weights are made, so no posting becomes a row either.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glimmerdex import decisions as D
 from glimmerdex.operators.vector import CELL_DOCS, MAX_KEPT, QUERIES_AT_ONCE, Best
 from glimmerdex.plans import sizing
 
@@ -26,13 +32,114 @@ CELL_TERMS = 1_000_000  # rows of queries and terms in a cell
 ADDED_AT_ONCE = 2_000_000
 
 
-def numbered(terms: DataFrame) -> DataFrame:
+def vocabulary(terms: DataFrame) -> pa.Array:
+    """The distinct terms of a measured, small table."""
+    return terms.select("term").distinct().toArrow()["term"].combine_chunks()
+
+
+def numbered(terms: DataFrame, found: pa.Array | None = None) -> DataFrame:
     """(term, term_no) of the distinct terms of a measured, small table; to be broadcast."""
-    found = terms.select("term").distinct().toArrow()["term"].combine_chunks()
+    found = vocabulary(terms) if found is None else found
     table = pa.table({"term": found, "term_no": pa.array(np.arange(len(found)), pa.int32())})
     return terms.sparkSession.createDataFrame(table)
 
 
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(values, pa.int32()))
+
+
+def counted(tokens: DataFrame, fields: list[str], known: pa.Array) -> DataFrame:
+    """(doc_key, kept, dl_<field>…, term_no, tf_<field>…): per document, in lists, which of the known terms it has and how often.
+
+    `tokens` is (doc_key, kept, terms_<field>…). The table is written, so that texts are cut into words once."""
+    counts = [f"tf_{f}" for f in fields]
+    schema = T.StructType([tokens.schema["doc_key"], tokens.schema["kept"]])
+    for f in fields:
+        schema = schema.add(f"dl_{f}", T.IntegerType())
+    for c in ("term_no", *counts):
+        schema = schema.add(c, T.ArrayType(T.IntegerType()))
+    shared = tokens.sparkSession.sparkContext.broadcast(known)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value_set = shared.value
+        n_terms = max(len(value_set), 1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                rows = batch.slice(at, DOCS_AT_ONCE)
+                sizes, met = [], []
+                for f in fields:
+                    words = rows.column(f"terms_{f}")
+                    sizes.append(pc.list_value_length(words).to_numpy(zero_copy_only=False))
+                    term = pc.fill_null(pc.index_in(words.flatten(), value_set=value_set), -1).to_numpy().astype(np.int64)
+                    cells = np.repeat(np.arange(rows.num_rows) * n_terms, sizes[-1]) + term
+                    met.append(cells[term >= 0])
+                pairs = np.unique(np.concatenate(met))
+                found = np.bincount(pairs // n_terms, minlength=rows.num_rows)
+                tfs = [np.bincount(np.searchsorted(pairs, m), minlength=len(pairs)) for m in met]
+                columns = [rows.column("doc_key"), rows.column("kept"), *[pa.array(n, pa.int32()) for n in sizes]]
+                yield pa.RecordBatch.from_arrays(
+                    columns + [_lists(values, found) for values in (pairs % n_terms, *tfs)], names=schema.names
+                )
+
+    return sizing.written(sizing.in_small_batches(tokens).mapInArrow(count, schema), "matches")
+
+
+class Weights:
+    """The weight of a posting: its best weighted field counts (BM25 with the statistics of the whole index)."""
+
+    def __init__(self, counts: DataFrame, weights: dict[str, float], n_terms: int):
+        self.fields = list(weights)
+        self.weights = np.array(list(weights.values()), dtype=np.float64)
+        stats = _statistics(counts, self.fields, n_terms).toArrow()  # a row per field and known term, and one per field
+        field, term, n, length = (stats[c].to_numpy() for c in ("field", "term_no", "n", "length"))
+        self.rarity, self.mean = np.zeros((len(weights), n_terms)), np.zeros(len(weights))
+        for i in range(len(weights)):
+            whole, some = (field == i) & (term < 0), (field == i) & (term >= 0)
+            if not whole.any():
+                continue
+            n_docs = n[whole][0]
+            self.mean[i] = length[whole][0] / n_docs
+            self.rarity[i, term[some]] = np.log(1.0 + (n_docs - n[some] + 0.5) / (n[some] + 0.5))
+
+    def of(self, terms: np.ndarray, tfs: list[np.ndarray], lengths: list[np.ndarray]) -> np.ndarray:
+        best = np.zeros(len(terms))
+        for i, (tf, dl) in enumerate(zip(tfs, lengths, strict=True)):
+            has = tf > 0
+            n = tf[has].astype(np.float64)
+            length = (1.0 - D.BM25_B) + D.BM25_B * dl[has] / self.mean[i]
+            score = self.rarity[i, terms[has]] * n * (D.BM25_K1 + 1.0) / (n + D.BM25_K1 * length)
+            best[has] = np.maximum(best[has], self.weights[i] * score)
+        return best
+
+
+def _statistics(counts: DataFrame, fields: list[str], n_terms: int) -> DataFrame:
+    """(field, term_no, n, length): in how many documents a field, by its place, has a term; with term -1 all documents and their lengths."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n_docs, lengths = np.zeros((len(fields), n_terms), np.int64), 0, np.zeros(len(fields), np.int64)
+        for batch in batches:
+            n_docs += batch.num_rows
+            terms = batch.column("term_no").flatten().to_numpy()
+            for i, f in enumerate(fields):
+                lengths[i] += pc.sum(batch.column(f"dl_{f}").cast(pa.int64()), min_count=0).as_py()
+                found[i] += np.bincount(terms[batch.column(f"tf_{f}").flatten().to_numpy() > 0], minlength=n_terms)
+        field, term = np.nonzero(found)
+        if n_docs:
+            places = np.arange(len(fields))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(places, field), pa.int32()),
+                    pa.array(np.append(np.full(len(fields), -1), term), pa.int32()),
+                    pa.array(np.append(np.full(len(fields), n_docs), found[field, term])),
+                    pa.array(np.append(lengths, np.zeros(len(term), np.int64))),
+                ],
+                names=["field", "term_no", "n", "length"],
+            )
+
+    parts = counts.drop("doc_key", "kept").mapInArrow(add, "field int, term_no int, n bigint, length bigint")
+    return parts.groupBy("field", "term_no").agg(F.sum("n").alias("n"), F.sum("length").alias("length"))
+
+
 class Asked:
     """The query terms of a table (query_id, term_no, times[, needed]), in blocks of queries."""
 
@@ -61,15 +168,12 @@ class BestMatches(Best):
         self.asked = asked
         self.place = np.full(asked.n_terms, -1, np.int64)  # of a term among those of a block of documents
 
-    def add_batch(self, keys: pa.Array, matches: pa.ListArray) -> None:
+    def add_batch(self, keys: pa.Array, lengths: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        """Documents with the number of their terms; terms and weights follow each other."""
         # Null keys come first in the order of results, as in Spark.
         names = pc.fill_null(pc.binary_join_element_wise("-", keys.cast(pa.string()), ""), "")
         names = np.array([k.encode() for k in names.to_pylist()], dtype="S")
-        lengths = pc.list_value_length(matches).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths)
-        pairs = matches.flatten()
-        terms = pairs.field("term_no").to_numpy(zero_copy_only=False)
-        weights = pairs.field("weight").to_numpy(zero_copy_only=False)
         for first in range(0, len(names), DOCS_AT_ONCE):
             last = min(first + DOCS_AT_ONCE, len(names))
             part = slice(ends[first] - lengths[first], ends[last - 1])
@@ -135,6 +239,35 @@ def _added(scores: np.ndarray, rare: tuple, documents: np.ndarray, weights: np.n
     return scores
 
 
+Opened = Callable[[pa.ListArray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _weighted(matches: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many terms each document has, the terms and their weights."""
+    pairs = matches.flatten()
+    lengths = pc.list_value_length(matches).to_numpy(zero_copy_only=False)
+    return lengths, pairs.field("term_no").to_numpy(zero_copy_only=False), pairs.field("weight").to_numpy(zero_copy_only=False)
+
+
+def _weighed(matches: pa.ListArray, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same from counts. Rows of one document with the same lengths are one posting per term."""
+    rows = matches.flatten()
+    document = np.repeat(np.arange(len(matches)), pc.list_value_length(matches).to_numpy(zero_copy_only=False))
+    sizes = [rows.field(f"dl_{f}").to_numpy(zero_copy_only=False) for f in weights.fields]
+    lists = rows.field("term_no")
+    n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    terms = lists.flatten().to_numpy(zero_copy_only=False)
+    tfs = [rows.field(f"tf_{f}").flatten().to_numpy(zero_copy_only=False) for f in weights.fields]
+    if len(rows) > len(matches):
+        row, same = np.unique(np.stack([document, *sizes]), axis=1, return_inverse=True)
+        postings, place = np.unique(np.stack([np.repeat(same.reshape(-1), n), terms]), axis=1, return_inverse=True)
+        tfs = [np.bincount(place.reshape(-1), tf, postings.shape[1]) for tf in tfs]
+        document, sizes = row[0], list(row[1:])
+        terms, n = postings[1], np.bincount(postings[0], minlength=len(document))
+    found = weights.of(terms, tfs, [np.repeat(dl, n) for dl in sizes])
+    return np.bincount(document, n, len(matches)).astype(np.int64), terms, found
+
+
 def best_matches(weighted: DataFrame, asked: DataFrame, pool: int) -> DataFrame:
     """(query_id, doc_key, score): the best `pool` documents per query of every task, scores not rounded.
 
@@ -142,24 +275,39 @@ def best_matches(weighted: DataFrame, asked: DataFrame, pool: int) -> DataFrame:
     Terms with a number of times count so often. Query tables too large to broadcast meet the documents in cells.
     """
     matches = weighted.groupBy("doc_key").agg(F.collect_list(F.struct("term_no", "weight")).alias("matches"))
+    return _best(matches, asked, pool, lambda: _weighted)
+
+
+def best_counted(counts: DataFrame, asked: DataFrame, pool: int, weights: dict[str, float], n_terms: int) -> DataFrame:
+    """The same for documents whose terms were `counted`; a row per document is shuffled."""
+    shared = counts.sparkSession.sparkContext.broadcast(Weights(counts, weights, n_terms))
+    matching = counts.filter(F.col("kept") & (F.size("term_no") > 0))
+    parts = F.collect_list(F.struct(*[c for c in counts.columns if c not in ("doc_key", "kept")]))
+    return _best(matching.groupBy("doc_key").agg(parts.alias("matches")), asked, pool, lambda: partial(_weighed, weights=shared.value))
+
+
+def _best(matches: DataFrame, asked: DataFrame, pool: int, opened: Callable[[], Opened]) -> DataFrame:
     schema = T.StructType([asked.schema["query_id"], T.StructField("doc_key", T.StringType()), T.StructField("score", T.DoubleType())])
     n_terms, size = sizing.measure(asked)
     n_queries = asked.select("query_id").distinct().count()
     if not sizing.within_bounds(n_terms, size) or n_queries * pool > MAX_KEPT:
-        return _by_cells(matches, asked, pool, schema, max(-(-n_terms // CELL_TERMS), -(-n_queries * pool // MAX_KEPT)))
-    shared = weighted.sparkSession.sparkContext.broadcast(Asked(asked.toArrow()))
+        query_blocks = max(-(-n_terms // CELL_TERMS), -(-n_queries * pool // MAX_KEPT))
+        return _by_cells(matches, asked, pool, schema, query_blocks, opened)
+    shared = matches.sparkSession.sparkContext.broadcast(Asked(asked.toArrow()))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = BestMatches(shared.value, pool)
+        found, open_ = BestMatches(shared.value, pool), opened()
         for batch in batches:
             if batch.num_rows:
-                found.add_batch(batch.column("doc_key"), batch.column("matches"))
+                found.add_batch(batch.column("doc_key"), *open_(batch.column("matches")))
         yield from found.rows().to_batches()
 
-    return matches.mapInArrow(best, schema)
+    return sizing.in_small_batches(matches).mapInArrow(best, schema)
 
 
-def _by_cells(matches: DataFrame, asked: DataFrame, pool: int, schema: T.StructType, query_blocks: int) -> DataFrame:
+def _by_cells(
+    matches: DataFrame, asked: DataFrame, pool: int, schema: T.StructType, query_blocks: int, opened: Callable[[], Opened]
+) -> DataFrame:
     """Query blocks meet document blocks of bounded size."""
     kept = sizing.written(matches, "matches")
     doc_blocks = max(1, -(-kept.count() // CELL_DOCS))
@@ -177,7 +325,7 @@ def _by_cells(matches: DataFrame, asked: DataFrame, pool: int, schema: T.StructT
         found = BestMatches(Asked(wanting), pool)
         if docs.num_rows and wanting.num_rows:
             for batch in docs.to_batches():
-                found.add_batch(batch.column("doc_key"), batch.column("matches"))
+                found.add_batch(batch.column("doc_key"), *opened()(batch.column("matches")))
         return found.rows()
 
     return left.groupBy("q", "d").cogroup(right.groupBy("q", "d")).applyInArrow(best, schema)

@@ -52,3 +52,18 @@ def test_many_queries_of_few_words_meet_in_cells(tables, monkeypatch):
     plan = lexical.lexical_search(*tables, 5, {"text": 1.0})._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan
     assert best(tables, None, True) == want
+
+
+@pytest.mark.parametrize("where", [None, "doc_key < 'k050'"])
+def test_postings_are_not_rows(tables, monkeypatch, where):
+    """Texts are cut into words once, and a document's counts are one row; repeated and null keys and filters as before."""
+    kept, write = [], sizing.written
+    monkeypatch.setattr(sizing, "written", lambda df, name: kept.append((name, write(df, name))) or kept[-1][1])
+    found = lexical.lexical_search(*tables, 5, {"text": 2.0}, where=where)
+    assert [name for name, _ in kept] == ["matches"] and kept[0][1].count() == len(DOCS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan and "split" not in plan
+    rows = sorted(map(tuple, found.select("query_id", "rank", "doc_key", "score").collect()), key=repr)
+    scores = lexical.lexical_scores(*tables, {"text": 2.0}, where=where).withColumn("score", rounded(F.col("score")))
+    scored = top_k(scores, 5).select("query_id", "rank", "doc_key", "score")
+    assert rows == sorted(map(tuple, scored.collect()), key=repr) and rows
