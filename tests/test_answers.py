@@ -108,3 +108,21 @@ def test_known_items_and_evaluation(spark, shuffled_joins):
     )
     got = {r["mode"]: (r["n_queries"], r["hit_at_k"], r["mrr"]) for r in evaluate.retrieval_eval(hits, truth, ["mode"]).collect()}
     assert got == {"m": (4, 0.5, 0.375), "n": (4, 0.0, 0.0)}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_words_are_cut_into_n_grams_once(spark, monkeypatch, request, small):
+    """However often a word occurs, or looked up in the tasks where passages may be broadcast; short passages occur inside words, and repeated passages and rows stay."""
+    if not small:
+        request.getfixturevalue("shuffled_joins")
+    texts = ["xthe fox", "the fox", "Fox the", "a b", "ΟΔΟΣ x", "fox foxes", "--", "σοφός"] + ["the same words again"] * 40
+    docs = spark.createDataFrame([(f"k{i}", t) for i, t in enumerate(texts)], "doc_key string, text string")
+    asked = ["the", "he fo", "fo", "--", "Fox", "e s", "same words again", "fo", "ΟΣ", "w", ""]
+    passages = spark.createDataFrame(list(enumerate(asked)) + [(2, "fo")], "query_id long, query_text string")
+    cut, grams = [], evaluate._grams
+    monkeypatch.setattr(evaluate, "_grams", lambda words, size: cut.append(words.count()) or grams(words, size))
+    found = sorted((r["query_id"], r["doc_key"]) for r in evaluate.known_items(docs, passages).collect())
+    want = [(i, f"k{j}") for i, p in [*enumerate(asked), (2, "fo")] for j, t in enumerate(texts) if p and p in t]
+    assert found == sorted(want)
+    words = {w for t in texts for w in t.lower().split() if w != "--"}
+    assert set(cut) == (set() if small else {len(words)})
