@@ -28,7 +28,7 @@ from glimmerdex.operators.documents import INDEX_SCHEMA, empty_index
 from glimmerdex.operators.filters import to_column
 from glimmerdex.operators.lexical import LexicalIndex
 from glimmerdex.plans import sizing
-from glimmerdex.plans.sizing import broadcast_if_small, is_small, keyed_join, measure, text_parts, within_bounds, written
+from glimmerdex.plans.sizing import broadcast_if_small, is_small, keyed_join, measure, shuffles_removed, text_parts, within_bounds, written
 from glimmerdex.sources import manifest, sketches
 from glimmerdex.sources.commits import CommitLog, Conflict, Folder
 
@@ -368,11 +368,13 @@ def publish_lexical(
     def bucketed(rows: DataFrame, name: str, sort: str, in_place: bool = False, mode: str = "error") -> None:
         # The shuffle hashes as the buckets do, and what was counted bucket by bucket lies there: one file per bucket.
         writer = (rows if in_place else rows.repartition(buckets, "doc_key")).write.mode(mode).bucketBy(buckets, "doc_key").sortBy(sort)
-        writer.option("path", f"{path}/{name}").saveAsTable(f"{table}_{name}")
+        with shuffles_removed(spark):
+            writer.options(path=f"{path}/{name}", compression="zstd").saveAsTable(f"{table}_{name}")
 
     bucketed(documents, "documents", "doc_key")
     kept = spark.table(f"{table}_documents")
-    lexical.term_counts(kept, fields).write.parquet(f"{path}/terms")
+    with shuffles_removed(spark):
+        lexical.term_counts(kept, fields).write.parquet(f"{path}/terms")
     lexical.field_lengths(kept, fields).coalesce(1).write.parquet(f"{path}/fields")
     terms, lengths = spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/fields")
     rows = lexical.postings(kept, fields, by_key=True)
@@ -392,9 +394,11 @@ def publish_lexical(
         bucketed(rows, "postings", "term", True)
     listed = [(i, f, float(w)) for i, chosen in enumerate(settled) for f, w in chosen.items()]
     spark.createDataFrame(listed, "weighting int, field string, weight double").coalesce(1).write.parquet(f"{path}/weights")
+    frequent = terms.filter(F.col("df") * len(fields) > bounded.SHARD).select("term", "df")
     for i in range(len(settled) if by_bounds else 0):
         weighted = spark.table(f"{table}_postings").select("term", "doc_key", F.col(f"weight_{i}").alias("weight")).filter("weight > 0")
-        bounded.blocks(weighted).sortWithinPartitions("term", "shard", "block").write.parquet(f"{path}/blocks_{i}")
+        with shuffles_removed(spark):
+            bounded.blocks(weighted, frequent).write.option("compression", "zstd").parquet(f"{path}/blocks_{i}")
     return open_lexical(spark, path, table)
 
 
